@@ -65,6 +65,12 @@ def parse_api_time(c: Column | str) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch_ntz())
 
 
+def parse_iso_instant(c: Column | str) -> Column:
+    """ISO-8601 text (offset optional, UTC assumed) -> UTC ``timestamp_ntz``."""
+    instant = F.try_to_timestamp(col_(c))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch_ntz())
+
+
 def render_api_time(c: Column | str) -> Column:
     """UTC wall-clock timestamp -> API time text."""
     return F.date_format(col_(c).cast("timestamp_ntz"), API_TIME_RENDER)

@@ -108,6 +108,12 @@ def trophy_evolution(battles: DataFrame, ordered: bool = False) -> DataFrame:
     return out.orderBy("player_tag", "week") if ordered else out
 
 
+GOLD_TABLE_NAMES = (
+    "dim_player", "dim_card", "dim_deck", "fact_battles", "metrics_win_rate_by_card",
+    "metrics_win_rate_by_deck", "metrics_trophy_evolution", "metrics_top_cards",
+)
+
+
 def gold_tables(battles: DataFrame, profiles: DataFrame) -> dict[str, DataFrame]:
     """All eight gold tables; C9 and C12 share one aggregate."""
     counts = card_counts(battles)

@@ -30,8 +30,11 @@ def _provenance(bronze: DataFrame, name: str, dtype: str) -> F.Column:
     return F.lit(None).cast(dtype)
 
 
-def silver_battles(bronze: DataFrame, run_date: dt.date | None = None) -> DataFrame:
-    """Bronze battle records -> ``battles_silver`` (key ``battle_id``)."""
+def silver_battle_rows(bronze: DataFrame, run_date: dt.date | None = None) -> DataFrame:
+    """C3 without the dedup: typed rows with ids, nulls dropped (row-local, stream-safe).
+
+    Keeps the landing order column ``_source_seq`` for the dedup step.
+    """
     ingestion = F.lit(run_date).cast("date") if run_date else _provenance(bronze, "ingestion_date", "date")
     typed = bronze.select(
         F.col("player_tag"),
@@ -53,6 +56,12 @@ def silver_battles(bronze: DataFrame, run_date: dt.date | None = None) -> DataFr
         X.battle_id("player_tag", "battle_time").alias("battle_id"),
         X.deck_hash("player_deck").alias("deck_hash"),
     ).dropna(subset=["player_tag", "battle_time", "result"])
+    return keyed
+
+
+def silver_battles(bronze: DataFrame, run_date: dt.date | None = None) -> DataFrame:
+    """Bronze battle records -> ``battles_silver`` (key ``battle_id``)."""
+    keyed = silver_battle_rows(bronze, run_date)
     deduped = keep_first(keyed, ["battle_id"], ["ingestion_date", "_source_seq"])
     return deduped.select(*SILVER_BATTLE_COLUMNS)
 

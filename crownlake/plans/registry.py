@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 from crownlake.functions import columns as X
 from crownlake.operators import analytics as A
 from crownlake.operators import gold as G
+from crownlake.operators.bronze import normalize_battles, normalize_profiles
+from crownlake.operators.coerce import coerce_result, stringify
+from crownlake.schemas import BRONZE_BATTLES, BRONZE_PROFILE
+from crownlake.session import scratch_path
 from crownlake.sources import fixtures as FX
+from crownlake.sources import raw as R
+from crownlake.sources import sinks as K
 from crownlake.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +54,76 @@ def q_deck_with_cards_repaired(spark: SparkSession, sf: str) -> DataFrame:
     return A.deck_with_cards(G.fact_battles(b), b, literal=False)
 
 
+def q_parse_deck(spark: SparkSession, sf: str) -> DataFrame:
+    """decks rendered as result text and parsed back."""
+    b = _battles(spark, sf).select("battle_id", X.render_deck("player_deck").alias("deck_text"))
+    return b.select("battle_id", "deck_text", X.parse_deck("deck_text").alias("deck_cards"))
+
+
+def q_coerce_result(spark: SparkSession, sf: str) -> DataFrame:
+    """A gold table paged back as text, then typed again."""
+    text = stringify(G.card_usage(_battles(spark, sf)))
+    return coerce_result(text, {"usage_count": "number", "win_rate": "number"})
+
+
+def q_bronze_battles(spark: SparkSession, sf: str) -> DataFrame:
+    """C2 on landed raw JSON: render API items from the tables, land, read, normalise."""
+    path = scratch_path(spark, "raw-battles")
+    R.land_json(R.raw_battle_items(spark, sf), path)
+    kept, _rejects = normalize_battles(R.read_raw_battles(spark, path))
+    return kept.select(*BRONZE_BATTLES.names, "ingestion_date")
+
+
+def q_bronze_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """C1 on landed raw JSON."""
+    path = scratch_path(spark, "raw-profiles")
+    R.land_json(R.raw_profiles(spark, sf), path)
+    return normalize_profiles(R.read_raw_profiles(spark, path)).select(*BRONZE_PROFILE.names, "ingestion_date")
+
+
+def q_stream_ingest_available_now(spark: SparkSession, sf: str) -> DataFrame:
+    """Two landing waves, each picked up by an availableNow stream run."""
+    from crownlake.streaming.ingest import run_available_now
+
+    base = scratch_path(spark, "stream")
+    raw, silver, ckpt = f"{base}/raw", f"{base}/silver", f"{base}/checkpoint"
+    items = R.raw_battle_items(spark, sf)
+    split = items.agg(F.percentile_approx(F.unix_date("ingestion_date"), 0.5).alias("d")).first()["d"]
+    first_wave = F.unix_date("ingestion_date") <= F.lit(split)
+    R.land_json(items.where(first_wave), raw, mode="append")
+    run_available_now(spark, raw, silver, ckpt)
+    R.land_json(items.where(~first_wave), raw, mode="append")
+    run_available_now(spark, raw, silver, ckpt)
+    return spark.read.parquet(silver)
+
+
+def q_parquet_roundtrip_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver written partitioned by ingestion_date and read back."""
+    path = scratch_path(spark, "silver-battles")
+    K.write_parquet(_battles(spark, sf), path, ["ingestion_date"], partition_overwrite="static")
+    return spark.read.parquet(path)
+
+
+def q_table_register_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Fact written partitioned, registered over its folder, repaired, read by name."""
+    path = scratch_path(spark, "fact-battles")
+    fact = _fact(spark, sf)
+    K.write_parquet(fact, path, ["ingestion_date"], partition_overwrite="static")
+    name = "fact_battles_" + path.rstrip("/").rsplit("-", 1)[-1]
+    q = K.register_table(spark, "crownlake_check", name, path, K.ddl_of(spark.read.parquet(path)),
+                         ["ingestion_date"])
+    K.repair_table(spark, q)
+    return spark.table(q)
+
+
+def q_row_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver and gold built and written from bronze, rows counted on the writes."""
+    from crownlake.plans.pipeline import build_from_bronze
+
+    root = scratch_path(spark, "lake")
+    return build_from_bronze(spark, root, FX.bronze_battles(spark, sf), FX.bronze_profiles(spark, sf))
+
+
 def core_queries() -> dict[str, Query]:
     return {
         # silver (C3, C4)
@@ -82,13 +158,24 @@ def core_queries() -> dict[str, Query]:
     }
 
 
+def io_queries() -> dict[str, Query]:
+    return {
+        "parse_deck": q_parse_deck,
+        "coerce_result": q_coerce_result,
+        "bronze_battles": q_bronze_battles,
+        "bronze_profiles": q_bronze_profiles,
+        "stream_ingest_available_now": q_stream_ingest_available_now,
+        "parquet_roundtrip_partitioned": q_parquet_roundtrip_partitioned,
+        "table_register_repair": q_table_register_repair,
+        "row_audit": q_row_audit,
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    return core_queries()
+    return {**core_queries(), **io_queries()}
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """The headline query: the deck leaderboard over the fact table."""
     return A.deck_leaderboard(_fact(spark, sf))
 
-
-_ = F  # keep the functions import for callers extending the registry

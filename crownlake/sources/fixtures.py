@@ -101,10 +101,10 @@ def bronze_battles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat bronze profile snapshots: one per (customer, order year)."""
+def profile_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per (customer, order year): the profile counters of that year."""
     orders = read_table(spark, sf_dir, "orders", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
-    per_year = orders.groupBy(
+    return orders.groupBy(
         "o_custkey", F.to_date(F.date_trunc("year", "o_orderdate")).alias("ingestion_date")
     ).agg(
         F.floor(F.sum("o_totalprice") / 1000).cast("int").alias("trophies"),
@@ -114,6 +114,11 @@ def bronze_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).cast("int").alias("battle_count"),
         F.max("o_orderdate").cast("timestamp_ntz").alias("ingested_at"),
     )
+
+
+def bronze_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat bronze profile snapshots: one per (customer, order year)."""
+    per_year = profile_years(spark, sf_dir)
     joined = per_year.join(_customers(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"), "inner")
     return joined.select(
         X.clean_tag("c_name").alias("tag"),
