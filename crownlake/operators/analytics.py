@@ -109,17 +109,17 @@ def top_cards(battles: DataFrame, k: int | None = 10, unique_battles: bool = Tru
 
 # --- C15, C24 ----------------------------------------------------------------
 
-def streak_leaderboard(fact: DataFrame, k: int | None = 20, method: str = "split") -> DataFrame:
+def streak_leaderboard(fact: DataFrame, k: int | None = 20, method: str = "auto", **split) -> DataFrame:
     """Longest streak and number of streaks per player and result, top k."""
-    summary = streak_summary(streak_runs(fact, method=method))
+    summary = streak_summary(streak_runs(fact, method=method, **split))
     out = summary.select("player_tag", "streak_type", "longest_streak", "num_streaks")
     return top_k(out, [F.col("longest_streak").desc_nulls_last(), F.col("player_tag").asc_nulls_last(),
                        F.col("streak_type").asc_nulls_last()], k)
 
 
-def longest_streaks(fact: DataFrame, method: str = "split") -> DataFrame:
+def longest_streaks(fact: DataFrame, method: str = "auto", **split) -> DataFrame:
     """Longest streak per result over all players."""
-    runs = streak_runs(fact, method=method)
+    runs = streak_runs(fact, method=method, **split)
     out = runs.groupBy(F.col("result").alias("streak_type")).agg(F.max("run_length").alias("longest_streak"))
     return out.orderBy(F.col("longest_streak").desc_nulls_last(), F.col("streak_type").asc_nulls_last())
 

@@ -36,3 +36,19 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) ->
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """One row per ``keys``: the row that is largest by ``order``, then by all columns."""
     return _survivor(df, keys, order, F.max)
+
+
+def drop_seen(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``new`` whose ``keys`` are not in ``existing`` (an incremental merge).
+
+    ``new`` is one landing (small); ``existing`` is the whole table (large). A
+    plain anti-join would shuffle every existing key on each run. Instead the
+    existing keys are first semi-joined with the keys of ``new`` — the small
+    side is the build side, so Catalyst/AQE can broadcast it when its measured
+    size allows, and the large side is then only scanned and filtered — and
+    ``new`` is anti-joined with that (at most ``new``-sized) result.
+    """
+    keys = list(keys)
+    new_keys = new.select(*keys).distinct()
+    already = existing.select(*keys).join(new_keys, keys, "left_semi")
+    return new.join(already, keys, "left_anti")

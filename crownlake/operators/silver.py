@@ -72,8 +72,11 @@ def silver_profiles(
     run_date: dt.date | None = None,
 ) -> DataFrame:
     """C4: bronze profiles -> ``profile_silver`` (key ``player_tag, snapshot_at``)."""
-    snapshot = F.lit(run_ts).cast("timestamp_ntz") if run_ts else _provenance(bronze, "ingested_at", "timestamp_ntz")
     ingestion = F.lit(run_date).cast("date") if run_date else _provenance(bronze, "ingestion_date", "date")
+    # Landing time, else the landing day: one snapshot per pull, not per run.
+    landed = F.coalesce(_provenance(bronze, "ingested_at", "timestamp_ntz"),
+                        _provenance(bronze, "ingestion_date", "date").cast("timestamp_ntz"))
+    snapshot = F.lit(run_ts).cast("timestamp_ntz") if run_ts else landed
     typed = bronze.select(
         F.col("tag").alias("player_tag"),
         F.col("name").alias("player_name"),

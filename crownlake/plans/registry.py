@@ -154,6 +154,9 @@ def core_queries() -> dict[str, Query]:
         "deck_with_cards_repaired": q_deck_with_cards_repaired,
         "elixir_by_outcome_simple": lambda s, sf: A.elixir_by_outcome_simple(_battles(s, sf)),
         "longest_streaks": lambda s, sf: A.longest_streaks(_fact(s, sf)),
+        # the same two with every player split by hour (the hot-player plan)
+        "streak_leaderboard_split": lambda s, sf: A.streak_leaderboard(_fact(s, sf), method="split"),
+        "longest_streaks_split": lambda s, sf: A.longest_streaks(_fact(s, sf), method="split"),
         "outcome_split": lambda s, sf: A.outcome_split(_profiles(s, sf)),
     }
 

@@ -6,7 +6,7 @@ file-source stream (explicit schema, ``_metadata`` for landing tag/day) with
 last checkpoint, then stops — the scheduled-batch cadence with exactly-once
 file tracking. Each micro-batch is merged into silver by ``foreachBatch``:
 normalise, build silver rows, keep one row per ``battle_id`` (deterministic,
-``keep_first``), drop ids already in silver (anti-join), append. A replayed
+``keep_first``), drop ids already in silver (``drop_seen``), append. A replayed
 epoch (after a failure between the write and the checkpoint commit) finds its
 ids already present and appends nothing, so the sink is idempotent.
 
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from crownlake.operators.bronze import normalize_battles
-from crownlake.operators.dedup import keep_first
+from crownlake.operators.dedup import drop_seen, keep_first
 from crownlake.operators.silver import silver_battle_rows
 from crownlake.schemas import SILVER_BATTLE_COLUMNS
 from crownlake.sources import raw as R
@@ -50,11 +50,17 @@ def merge_into_silver(batch: DataFrame, silver_path: str) -> None:
     spark = batch.sparkSession
     kept, _rejects = normalize_battles(batch)
     rows = silver_battle_rows(kept)
-    fresh = keep_first(rows, ["battle_id"], ["ingestion_date", "_source_seq"]).select(*SILVER_BATTLE_COLUMNS)
-    if _path_exists(spark, silver_path):
-        seen = spark.read.parquet(silver_path).select("battle_id")
-        fresh = fresh.join(seen, "battle_id", "left_anti")
-    fresh.write.mode("append").partitionBy("ingestion_date").parquet(silver_path)
+    # One micro-batch (bounded by the trigger's file limit) is read twice by
+    # the merge below; keep it rather than re-reading its files.
+    cached = keep_first(rows, ["battle_id"], ["ingestion_date", "_source_seq"]).select(
+        *SILVER_BATTLE_COLUMNS).persist()
+    try:
+        fresh = cached
+        if _path_exists(spark, silver_path):
+            fresh = drop_seen(cached, spark.read.parquet(silver_path), ["battle_id"])
+        fresh.write.mode("append").partitionBy("ingestion_date").parquet(silver_path)
+    finally:
+        cached.unpersist()
 
 
 def ingest_battles(

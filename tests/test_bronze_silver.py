@@ -1,0 +1,226 @@
+"""Raw -> bronze -> silver on hand-written landings (FIXTURES.md §4)."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import os
+
+import pytest
+from pyspark.errors import PySparkException
+from py4j.protocol import Py4JJavaError
+
+from crownlake.operators.bronze import normalize_battles, normalize_profiles
+from crownlake.operators.gold import dim_deck
+from crownlake.operators.silver import silver_battles, silver_profiles
+from crownlake.sources import raw as R
+
+
+def card(name):
+    return {"name": name}
+
+
+def item(time="20240110T100000.000Z", crowns=(3, 1), deck=("A", "B"), opp_deck=("C",), type_="PvP",
+         team=True, opponent=True, **extra):
+    it = {"battleTime": time, "type": type_}
+    if team:
+        it["team"] = [{"crowns": crowns[0], "startingTrophies": 5000, "elixirLeaked": 1.5,
+                       "cards": [card(c) for c in deck]}]
+    if opponent:
+        it["opponent"] = [{"tag": "#OPP1", "crowns": crowns[1], "cards": [card(c) for c in opp_deck]}]
+    it.update(extra)
+    return it
+
+
+def land(base, tag, day, items, pretty=True):
+    """Reference layout: <base>/<TAG>/<YYYY-MM-DD>/data.json, one indented JSON array."""
+    d = os.path.join(base, tag, day)
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, "data.json"), "w") as f:
+        json.dump(items, f, indent=2 if pretty else None, ensure_ascii=False)
+
+
+def read_battles(spark, base):
+    return R.read_raw_battles(spark, base, multi_line=True)
+
+
+def test_path_layout_gives_tag_and_day(spark, tmp_dir):
+    land(tmp_dir, "2PQLY9", "2024-01-10", [item()])
+    r = read_battles(spark, tmp_dir).first()
+    assert r.player_tag == "2PQLY9"
+    assert r.ingestion_date == dt.date(2024, 1, 10)
+
+
+def test_crowns_decide_result(spark, tmp_dir):
+    land(tmp_dir, "P", "2024-01-10", [
+        item("20240110T100000.000Z", (3, 1)), item("20240110T110000.000Z", (1, 3)),
+        item("20240110T120000.000Z", (1, 1))])
+    kept, rejects = normalize_battles(read_battles(spark, tmp_dir))
+    assert sorted(r.result for r in kept.collect()) == ["draw", "loss", "win"]
+    assert rejects.count() == 0
+
+
+def test_malformed_items_are_rejected_with_reason(spark, tmp_dir):
+    bad_card = item("20240110T130000.000Z")
+    bad_card["team"][0]["cards"].append({"id": 1})
+    land(tmp_dir, "P", "2024-01-10", [
+        item("20240110T100000.000Z"),
+        item("20240110T110000.000Z", team=False) | {"team": []},
+        item("20240110T120000.000Z", opponent=False),
+        {k: v for k, v in item().items() if k != "battleTime"},
+        bad_card,
+    ])
+    kept, rejects = normalize_battles(read_battles(spark, tmp_dir))
+    assert kept.count() == 1
+    reasons = sorted(r.reject_reason for r in rejects.collect())
+    assert reasons == ["card without name", "missing battleTime", "missing opponent", "missing team"]
+
+
+def test_missing_and_null_crowns_both_default_to_zero(spark, tmp_dir):
+    a = item("20240110T100000.000Z")
+    del a["team"][0]["crowns"]
+    b = item("20240110T110000.000Z")
+    b["team"][0]["crowns"] = None
+    land(tmp_dir, "P", "2024-01-10", [a, b])
+    kept, _ = normalize_battles(read_battles(spark, tmp_dir))
+    assert [r.crowns_player for r in kept.collect()] == [0, 0]
+
+
+def test_type_and_opponent_tag_defaults(spark, tmp_dir):
+    a = {k: v for k, v in item().items() if k != "type"}
+    del a["opponent"][0]["tag"]
+    land(tmp_dir, "P", "2024-01-10", [a])
+    r = normalize_battles(read_battles(spark, tmp_dir))[0].first()
+    assert (r.battle_type, r.opponent_tag) == ("unknown", "")
+
+
+def test_empty_battle_file_alone_and_next_to_full_one(spark, tmp_dir):
+    land(tmp_dir, "EMPTY", "2024-01-10", [])
+    assert normalize_battles(read_battles(spark, tmp_dir))[0].count() == 0
+    land(tmp_dir, "FULL", "2024-01-10", [item()])
+    kept = normalize_battles(read_battles(spark, tmp_dir))[0]
+    assert [r.player_tag for r in kept.collect()] == ["FULL"]
+
+
+def test_same_battle_in_two_daily_files_keeps_first_day(spark, tmp_dir):
+    land(tmp_dir, "P", "2024-01-10", [item("20240110T100000.000Z")])
+    land(tmp_dir, "P", "2024-01-11", [item("20240110T100000.000Z"), item("20240111T090000.000Z")])
+    kept, _ = normalize_battles(read_battles(spark, tmp_dir))
+    silver = silver_battles(kept)
+    got = sorted((r.battle_time, r.ingestion_date) for r in silver.collect())
+    assert got == [(dt.datetime(2024, 1, 10, 10), dt.date(2024, 1, 10)),
+                   (dt.datetime(2024, 1, 11, 9), dt.date(2024, 1, 11))]
+
+
+def test_unparsable_time_is_dropped_not_raised(spark, tmp_dir):
+    land(tmp_dir, "P", "2024-01-10", [item("not-a-time"), item("20240110T100000.000Z")])
+    kept, _ = normalize_battles(read_battles(spark, tmp_dir))
+    assert silver_battles(kept).count() == 1
+
+
+def test_literal_run_date_mode(spark, tmp_dir):
+    land(tmp_dir, "P", "2024-01-10", [item()])
+    kept, _ = normalize_battles(read_battles(spark, tmp_dir))
+    r = silver_battles(kept, run_date=dt.date(2030, 5, 5)).first()
+    assert r.ingestion_date == dt.date(2030, 5, 5)
+
+
+def test_silver_is_idempotent_on_its_own_output(spark, tmp_dir):
+    land(tmp_dir, "P", "2024-01-10", [item("20240110T100000.000Z"), item("20240110T110000.000Z", (0, 2))])
+    kept, _ = normalize_battles(read_battles(spark, tmp_dir))
+    once = silver_battles(kept)
+    from crownlake.functions import columns as X
+    from pyspark.sql import functions as F
+    again_input = once.select(
+        X.render_api_time("battle_time").alias("battle_time"), "battle_type", "result", "player_tag",
+        "player_trophies", "player_deck", F.col("player_elixir_avg").cast("double").alias("player_elixir_avg"),
+        "crowns_player", "crowns_opponent", "opponent_tag", "opponent_deck", "ingestion_date")
+    twice = silver_battles(again_input)
+    assert sorted(map(tuple, once.collect()), key=repr) == sorted(map(tuple, twice.collect()), key=repr)
+
+
+def test_one_deck_two_orders_one_hash_two_dim_rows(spark, tmp_dir):
+    land(tmp_dir, "P", "2024-01-10", [item("20240110T100000.000Z", deck=("A", "B")),
+                                      item("20240110T110000.000Z", deck=("B", "A"))])
+    kept, _ = normalize_battles(read_battles(spark, tmp_dir))
+    silver = silver_battles(kept)
+    assert silver.select("deck_hash").distinct().count() == 1
+    assert dim_deck(silver).count() == 2
+    assert dim_deck(silver, canonical=True).count() == 1
+
+
+# --- profiles ----------------------------------------------------------------
+
+def profile(**over):
+    p = {"tag": "#2PQLY9", "name": "Ana", "expLevel": 40, "trophies": 6000, "bestTrophies": 6500,
+         "wins": 10, "losses": 5, "battleCount": 20,
+         "cards": [{"id": 1, "name": "Knight", "level": 11, "maxLevel": 14, "rarity": "common"}],
+         "clan": {"tag": "#CLAN1", "name": "Clan"}}
+    p.update(over)
+    return p
+
+
+def land_profile(base, tag, day, p):
+    d = os.path.join(base, tag, day)
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, "data.json"), "w") as f:
+        json.dump(p, f, indent=2)
+
+
+def read_profiles(spark, base):
+    return R.read_raw_profiles(spark, base, multi_line=True)
+
+
+def test_profile_defaults_and_renames(spark, tmp_dir):
+    land_profile(tmp_dir, "2PQLY9", "2024-01-10", profile())
+    r = normalize_profiles(read_profiles(spark, tmp_dir)).first()
+    assert (r.tag, r.level, r.best_trophies, r.battle_count, r.clan_tag) == ("2PQLY9", 40, 6500, 20, "CLAN1")
+    c = r.cards[0]
+    assert (c.max_level, c.elixir_cost, c["count"]) == (14, 0, 0)
+
+
+def test_profile_without_clan_and_with_empty_cards(spark, tmp_dir):
+    p = profile(cards=[])
+    del p["clan"]
+    land_profile(tmp_dir, "2PQLY9", "2024-01-10", p)
+    r = normalize_profiles(read_profiles(spark, tmp_dir)).first()
+    assert (r.clan_name, r.clan_tag, r.cards) == (None, None, [])
+
+
+def test_profile_missing_required_field_fails_the_run(spark, tmp_dir):
+    p = profile()
+    del p["wins"]
+    land_profile(tmp_dir, "2PQLY9", "2024-01-10", p)
+    with pytest.raises((PySparkException, Py4JJavaError)) as e:
+        normalize_profiles(read_profiles(spark, tmp_dir)).collect()
+    assert "wins" in str(e.value)
+
+
+def test_profile_lenient_mode_drops_instead(spark, tmp_dir):
+    p = profile()
+    del p["wins"]
+    land_profile(tmp_dir, "A", "2024-01-10", p)
+    land_profile(tmp_dir, "B", "2024-01-10", profile(tag="#B"))
+    out = normalize_profiles(read_profiles(spark, tmp_dir), strict=False)
+    assert [r.tag for r in out.collect()] == ["B"]
+
+
+def test_silver_profile_win_rate_and_zero_battles(spark, tmp_dir):
+    land_profile(tmp_dir, "A", "2024-01-10", profile(ingested_at="2024-01-10T06:00:00.000000+00:00"))
+    land_profile(tmp_dir, "B", "2024-01-10", profile(tag="#B", battleCount=0,
+                                                      ingested_at="2024-01-10T06:00:01"))
+    bronze = normalize_profiles(read_profiles(spark, tmp_dir))
+    got = {r.player_tag: (r.win_rate, r.snapshot_at) for r in silver_profiles(bronze).collect()}
+    assert got["2PQLY9"] == (50.0, dt.datetime(2024, 1, 10, 6, 0, 0))
+    assert got["B"] == (0.0, dt.datetime(2024, 1, 10, 6, 0, 1))
+
+
+def test_silver_profile_literal_clock_mode(spark, tmp_dir):
+    land_profile(tmp_dir, "A", "2024-01-10", profile())
+    land_profile(tmp_dir, "A", "2024-01-11", profile(trophies=6100))
+    bronze = normalize_profiles(read_profiles(spark, tmp_dir))
+    # No landing time: the landing day is the snapshot time, so both pulls stay.
+    got = sorted(r.snapshot_at for r in silver_profiles(bronze).collect())
+    assert got == [dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 11)]
+    literal = silver_profiles(bronze, run_ts=dt.datetime(2030, 1, 1))
+    assert literal.count() == 1  # one clock per run: one row per player survives
