@@ -71,6 +71,11 @@ def parse_iso_instant(c: Column | str) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch_ntz())
 
 
+def ntz_to_instant(c: Column | str) -> Column:
+    """UTC wall-clock ``timestamp_ntz`` -> ``timestamp`` instant (zone-independent)."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), col_(c)))
+
+
 def render_api_time(c: Column | str) -> Column:
     """UTC wall-clock timestamp -> API time text."""
     return F.date_format(col_(c).cast("timestamp_ntz"), API_TIME_RENDER)

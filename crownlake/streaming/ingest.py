@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from crownlake.functions import columns as X
 from crownlake.operators.bronze import normalize_battles
 from crownlake.operators.dedup import drop_seen, keep_first
 from crownlake.operators.silver import silver_battle_rows
@@ -93,8 +94,13 @@ def run_available_now(spark: SparkSession, raw_path: str, silver_path: str, chec
 
 def dedup_within_watermark(df: DataFrame, key: str = "battle_id", event_time: str = "battle_time",
                            delay: str = "2 days") -> DataFrame:
-    """R2: streaming keyed dedup with state bounded by an event-time watermark."""
-    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    """R2: streaming keyed dedup with state bounded by an event-time watermark.
+
+    Silver keeps UTC wall-clock ``timestamp_ntz``; watermarks need an instant,
+    so the event time is converted (without the session zone) first."""
+    timed = df.withColumn("_event_time", X.ntz_to_instant(event_time))
+    deduped = timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([key])
+    return deduped.drop("_event_time")
 
 
 def silver_battle_stream(spark: SparkSession, raw_path: str, delay: str = "2 days") -> DataFrame:
