@@ -103,7 +103,7 @@ BRONZE_PROFILE = _fields(
     ("clan_tag", S),
 )
 
-# Provenance columns carried next to every bronze record. In the reference
+# Provenance columns carried next to every bronze record. In the per-player
 # layout they are object metadata; here they are plain columns.
 PROVENANCE = _fields(
     ("ingestion_date", DATE),   # the landing day (from the path)

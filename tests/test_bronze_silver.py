@@ -33,7 +33,7 @@ def item(time="20240110T100000.000Z", crowns=(3, 1), deck=("A", "B"), opp_deck=(
 
 
 def land(base, tag, day, items, pretty=True):
-    """Reference layout: <base>/<TAG>/<YYYY-MM-DD>/data.json, one indented JSON array."""
+    """Per-player layout: <base>/<TAG>/<YYYY-MM-DD>/data.json, one indented JSON array."""
     d = os.path.join(base, tag, day)
     os.makedirs(d, exist_ok=True)
     with open(os.path.join(d, "data.json"), "w") as f:
