@@ -143,6 +143,16 @@ def multiplicity(arr: Column | str, value: Column | str) -> Column:
     return F.size(F.filter(col_(arr), lambda x: x.eqNullSafe(v)))
 
 
+def to_json_text(c: Column | str) -> Column:
+    """Record -> JSON text (non-ASCII kept as is)."""
+    return F.to_json(col_(c))
+
+
+def from_json_text(c: Column | str, schema) -> Column:
+    """JSON text -> record with a declared schema (bad text -> NULL fields)."""
+    return F.from_json(col_(c), schema)
+
+
 def render_deck(deck: Column | str) -> Column:
     """Array -> ``[a, b, c]`` text, the way SQL result pages render arrays."""
     return F.concat(F.lit("["), F.array_join(col_(deck), ", "), F.lit("]"))

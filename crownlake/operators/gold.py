@@ -8,7 +8,7 @@ reduces a hot player inside each map task before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crownlake.functions import columns as X
@@ -16,9 +16,23 @@ from crownlake.operators.dedup import keep_last
 from crownlake.schemas import DIM_PLAYER_COLUMNS, FACT_BATTLE_COLUMNS
 
 
-def dim_player(profiles: DataFrame) -> DataFrame:
-    """The latest snapshot of each player."""
-    latest = keep_last(profiles.select(*DIM_PLAYER_COLUMNS), ["player_tag"], ["snapshot_at"])
+def dim_player(profiles: DataFrame, method: str = "aggregate") -> DataFrame:
+    """The latest snapshot of each player.
+
+    ``aggregate`` (default): ``max`` over a struct led by ``snapshot_at`` —
+    partial/final, so a player with a huge history is reduced map-side.
+    ``window``: ``row_number() over (partition by player order by snapshot_at
+    desc) = 1``, the original form (Catalyst adds a partial group limit before
+    the shuffle, but the final window still holds one player per task group).
+    """
+    cols = profiles.select(*DIM_PLAYER_COLUMNS)
+    if method == "window":
+        w = Window.partitionBy("player_tag").orderBy(F.col("snapshot_at").desc())
+        ranked = cols.withColumn("rn", F.row_number().over(w))
+        return ranked.where(F.col("rn") == 1).drop("rn").select(*DIM_PLAYER_COLUMNS)
+    if method != "aggregate":
+        raise ValueError(f"unknown method {method!r}")
+    latest = keep_last(cols, ["player_tag"], ["snapshot_at"])
     return latest.select(*DIM_PLAYER_COLUMNS)
 
 

@@ -74,6 +74,14 @@ def q_bronze_battles(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select(*BRONZE_BATTLES.names, "ingestion_date")
 
 
+def q_bronze_battles_text(spark: SparkSession, sf: str) -> DataFrame:
+    """C2 on payloads landed as JSON text lines (``to_json`` out, ``from_json`` in)."""
+    path = scratch_path(spark, "raw-battles-text")
+    R.land_json_text(R.raw_battle_items(spark, sf), path)
+    kept, _rejects = normalize_battles(R.read_raw_battles_text(spark, path))
+    return kept.select(*BRONZE_BATTLES.names, "ingestion_date")
+
+
 def q_bronze_profiles(spark: SparkSession, sf: str) -> DataFrame:
     """C1 on landed raw JSON."""
     path = scratch_path(spark, "raw-profiles")
@@ -132,6 +140,7 @@ def core_queries() -> dict[str, Query]:
         "clean_tag": q_clean_tag,
         # gold (C5-C12)
         "dim_player": lambda s, sf: G.dim_player(_profiles(s, sf)),
+        "dim_player_window": lambda s, sf: G.dim_player(_profiles(s, sf), method="window"),
         "dim_card": lambda s, sf: G.dim_card(_battles(s, sf)),
         "dim_deck": lambda s, sf: G.dim_deck(_battles(s, sf)),
         "fact_battles": _fact,
@@ -157,6 +166,7 @@ def core_queries() -> dict[str, Query]:
         # the same two with every player split by hour (the hot-player plan)
         "streak_leaderboard_split": lambda s, sf: A.streak_leaderboard(_fact(s, sf), method="split"),
         "longest_streaks_split": lambda s, sf: A.longest_streaks(_fact(s, sf), method="split"),
+        "streak_leaderboard_literal": lambda s, sf: A.streak_leaderboard(_fact(s, sf), method="literal"),
         "outcome_split": lambda s, sf: A.outcome_split(_profiles(s, sf)),
     }
 
@@ -166,6 +176,7 @@ def io_queries() -> dict[str, Query]:
         "parse_deck": q_parse_deck,
         "coerce_result": q_coerce_result,
         "bronze_battles": q_bronze_battles,
+        "bronze_battles_text": q_bronze_battles_text,
         "bronze_profiles": q_bronze_profiles,
         "stream_ingest_available_now": q_stream_ingest_available_now,
         "parquet_roundtrip_partitioned": q_parquet_roundtrip_partitioned,
