@@ -49,10 +49,10 @@ def _case(c: F.Column, pairs, default=None) -> F.Column:
     return expr.otherwise(F.lit(default))
 
 
-def _ordered_values(order_col: str, value_col: str) -> F.Column:
-    """Values of a group as an array ordered by (order_col, value)."""
-    pairs = F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("k"), F.col(value_col).alias("v"))))
-    return F.transform(pairs, lambda x: x["v"])
+def _ordered_values(lines: str, value_field: str) -> F.Column:
+    """One field of the collected lines, ordered by (line number, value)."""
+    pairs = F.transform(F.col(lines), lambda x: F.struct(x["k"].alias("k"), x[value_field].alias("v")))
+    return F.transform(F.array_sort(pairs), lambda x: x["v"])
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,14 +61,22 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "l_linenumber", "l_quantity", "l_returnflag")
     parts = read_table(spark, sf_dir, "part", "p_partkey", "p_type", "p_brand")
     joined = lines.join(parts, lines.l_partkey == parts.p_partkey, "inner")
-    return joined.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        _ordered_values("l_linenumber", "p_type").alias("player_deck"),
-        _ordered_values("l_linenumber", "p_brand").alias("opponent_deck"),
+    # One collected buffer per order (line number, type, brand); both decks
+    # are cut from it after the aggregate.
+    line = F.struct(F.col("l_linenumber").alias("k"), F.col("p_type").alias("t"), F.col("p_brand").alias("b"))
+    per_order = joined.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.collect_list(line).alias("_lines"),
         F.avg("l_quantity").alias("player_elixir_avg"),
         X.count_if(F.col("l_returnflag") == PLAYER_CROWN_FLAG).cast("int").alias("crowns_player"),
         X.count_if(F.col("l_returnflag") == OPPONENT_CROWN_FLAG).cast("int").alias("crowns_opponent"),
         F.min("l_suppkey").cast("string").alias("opponent_tag"),
     )
+    return per_order.select(
+        "o_orderkey",
+        _ordered_values("_lines", "t").alias("player_deck"),
+        _ordered_values("_lines", "b").alias("opponent_deck"),
+        "player_elixir_avg", "crowns_player", "crowns_opponent", "opponent_tag",
+    )
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
