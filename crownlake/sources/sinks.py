@@ -19,6 +19,16 @@ def observed(df: DataFrame, name: str, **extra: F.Column) -> tuple[DataFrame, Ob
     return df.observe(obs, *metrics), obs
 
 
+def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Cluster rows by the output partition columns before a partitioned write.
+
+    Without it every task writes one file per partition value it holds
+    (tasks x days files). ``repartition(col)`` would fix that but put a hot
+    day into one task; the REBALANCE hint lets AQE split skewed partitions and
+    coalesce small ones, so file sizes stay even either way."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
@@ -31,7 +41,9 @@ def write_parquet(
     "dynamic"`` only the partitions present in ``df`` are replaced; "static"
     replaces the whole table. Returns observed counts."""
     obs = None
+    df = rebalanced(df, partition_by)
     if audit:
+        # Observed after the rebalance exchange, i.e. in the writing stage.
         df, obs = observed(df, audit)
     writer = df.write.mode(mode)
     if partition_overwrite:
@@ -46,7 +58,9 @@ def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = ("ingesti
                mode: str = "overwrite", audit: str | None = None) -> dict:
     """JSON sink partitioned by landing day (dynamic overwrite)."""
     obs = None
+    df = rebalanced(df, partition_by)
     if audit:
+        # Observed after the rebalance exchange, i.e. in the writing stage.
         df, obs = observed(df, audit)
     writer = df.write.mode(mode)
     if partition_by:

@@ -59,7 +59,8 @@ def merge_into_silver(batch: DataFrame, silver_path: str) -> None:
         fresh = cached
         if _path_exists(spark, silver_path):
             fresh = drop_seen(cached, spark.read.parquet(silver_path), ["battle_id"])
-        fresh.write.mode("append").partitionBy("ingestion_date").parquet(silver_path)
+        fresh.hint("rebalance", "ingestion_date").write.mode("append").partitionBy(
+            "ingestion_date").parquet(silver_path)
     finally:
         cached.unpersist()
 
