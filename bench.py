@@ -46,6 +46,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     from crownlake.operators import analytics as A
+    from crownlake.operators import gold as G
     from crownlake.plans import registry
     from crownlake.plans.pipeline import Lake, build_from_bronze
     from crownlake.sources import fixtures as FX
@@ -75,8 +76,12 @@ def main() -> None:
         "deck_leaderboard": A.deck_leaderboard(fact),
         "card_leaderboard": A.card_leaderboard(silver),
         "card_leaderboard_distinct": A.card_leaderboard(silver, unique_battles=False),
+        "streak_leaderboard_auto": A.streak_leaderboard(fact, method="auto"),
         "streak_leaderboard_split": A.streak_leaderboard(fact, method="split"),
         "streak_leaderboard_window": A.streak_leaderboard(fact, method="window"),
+        "streak_leaderboard_literal": A.streak_leaderboard(fact, method="literal"),
+        "dim_player_aggregate": G.dim_player(profiles),
+        "dim_player_window": G.dim_player(profiles, method="window"),
         "deck_with_cards_eager": A.deck_with_cards(fact, silver, literal=True),
         "deck_with_cards_fanout": A.deck_with_cards_fanout(fact, silver),
         "elixir_by_outcome": A.elixir_by_outcome(silver),
