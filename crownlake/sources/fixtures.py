@@ -20,10 +20,10 @@ Battle record per order that has line items:
 * source_seq      ``o_orderkey`` (landing order inside a day)
 
 Plan shape: lineitem joins part on the part key (shuffle, or a broadcast when
-Catalyst's size statistics allow it), the lines are reduced per order with a
-partial aggregate (an order has at most a handful of lines, so the collected
-arrays are bounded), and the per-order frame — already hash-partitioned by
-order key — joins orders without re-shuffling that side.
+Catalyst's size statistics allow it), the joined lines are shuffled by order
+key and reduced per order after the shuffle (an order has a handful of lines,
+so the collected arrays are small), and the per-order frame — hash-partitioned
+by order key — joins orders without re-shuffling that side.
 """
 
 from __future__ import annotations
@@ -60,7 +60,11 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
                        "l_linenumber", "l_quantity", "l_returnflag")
     parts = read_table(spark, sf_dir, "part", "p_partkey", "p_type", "p_brand")
-    joined = lines.join(parts, lines.l_partkey == parts.p_partkey, "inner")
+    # Lines are shuffled by order key and aggregated after the shuffle. At
+    # scale the part join is a sort-merge join on the part key, which scatters
+    # an order's lines over all map partitions, so a map-side partial
+    # collect_list would cost CPU without shrinking the shuffle.
+    joined = lines.join(parts, lines.l_partkey == parts.p_partkey, "inner").repartition("l_orderkey")
     # One collected buffer per order (line number, type, brand); both decks
     # are cut from it after the aggregate.
     line = F.struct(F.col("l_linenumber").alias("k"), F.col("p_type").alias("t"), F.col("p_brand").alias("b"))
