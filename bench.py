@@ -32,7 +32,7 @@ sys.path.insert(0, ROOT)
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    from crownlake.session import build_session
+    from crownlake.session import build_session, scratch_path
 
     scratch = tempfile.mkdtemp(prefix="crownlake-bench-")
     spark = build_session(
@@ -41,7 +41,6 @@ def main() -> None:
         shuffle_partitions=max(8, cpus * 2),
         extra={
             "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-            "spark.checkpoint.dir": os.path.join(scratch, "checkpoint"),
             "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
         },
     )
@@ -65,7 +64,8 @@ def main() -> None:
     for name, fn in registry.core_queries().items():
         times[name] = run(fn(spark, sf_dir))
 
-    lake_root = os.path.join(scratch, "lake")
+    # Scratch tables go under the session's shared checkpoint folder.
+    lake_root = scratch_path(spark, "bench-lake")
     t0 = time.perf_counter()
     build_from_bronze(spark, lake_root, FX.bronze_battles(spark, sf_dir), FX.bronze_profiles(spark, sf_dir))
     times["pipeline_build"] = round(time.perf_counter() - t0, 3)

@@ -14,6 +14,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    # spark.checkpoint.dir comes from the environment's defaults when set;
+    # build_session only creates one when it is unset.
     from crownlake.session import build_session
 
     scratch = tempfile.mkdtemp(prefix="crownlake-tests-")
@@ -22,7 +24,6 @@ def spark():
         app_name="crownlake-tests",
         shuffle_partitions=4,
         extra={
-            "spark.checkpoint.dir": os.path.join(scratch, "checkpoint"),
             "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
             "spark.driver.memory": "4g",
         },

@@ -13,7 +13,6 @@ from __future__ import annotations
 import os
 import re
 import sys
-import tempfile
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -42,17 +41,16 @@ def main(argv: list[str]) -> None:
     from crownlake.operators import analytics as A
     from crownlake.operators import gold as G
     from crownlake.operators.coerce import coerce_result, stringify
-    from crownlake.session import build_session
+    from crownlake.session import build_session, scratch_path
     from crownlake.sources import fixtures as FX
 
-    scratch = tempfile.mkdtemp(prefix="crownlake-plans-")
-    spark = build_session("local[8]", shuffle_partitions=8,
-                          extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt")})
+    spark = build_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
-    FX.battles(spark, sf).write.parquet(os.path.join(scratch, "silver"))
-    FX.profiles(spark, sf).write.parquet(os.path.join(scratch, "profiles"))
-    silver = spark.read.parquet(os.path.join(scratch, "silver"))
-    profiles = spark.read.parquet(os.path.join(scratch, "profiles"))
+    silver_path, profiles_path = scratch_path(spark, "plans-silver"), scratch_path(spark, "plans-profiles")
+    FX.battles(spark, sf).write.parquet(silver_path)
+    FX.profiles(spark, sf).write.parquet(profiles_path)
+    silver = spark.read.parquet(silver_path)
+    profiles = spark.read.parquet(profiles_path)
     fact = G.fact_battles(silver)
     jobs = {
         "silver_battles (from tables)": FX.battles(spark, sf),
