@@ -147,6 +147,8 @@ def core_queries() -> dict[str, Query]:
         "win_rate_by_card": lambda s, sf: G.win_rate_by_card(_battles(s, sf)),
         "card_usage": lambda s, sf: G.card_usage(_battles(s, sf)),
         "win_rate_by_deck": lambda s, sf: G.win_rate_by_deck(_battles(s, sf)),
+        # threshold 1: the values the original threshold (5) filters out at small scale
+        "win_rate_by_deck_any": lambda s, sf: G.win_rate_by_deck(_battles(s, sf), min_battles=1),
         "trophy_evolution": lambda s, sf: G.trophy_evolution(_battles(s, sf)),
         # saved analytics
         "deck_leaderboard": lambda s, sf: A.deck_leaderboard(_fact(s, sf)),
