@@ -81,10 +81,6 @@ def render_api_time(c: Column | str) -> Column:
     return F.date_format(col_(c).cast("timestamp_ntz"), API_TIME_RENDER)
 
 
-def to_ntz(c: Column | str) -> Column:
-    return col_(c).cast("timestamp_ntz")
-
-
 def battle_id(player_tag: Column | str, battle_time: Column | str) -> Column:
     """md5 of ``player_tag _ battle_time-as-text`` (nulls skipped by concat_ws)."""
     return F.md5(F.concat_ws(BATTLE_ID_SEPARATOR, col_(player_tag), col_(battle_time).cast("string")))

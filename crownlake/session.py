@@ -9,7 +9,6 @@ they touch.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -92,16 +91,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     base = base.rstrip("/")
     return f"{base}/crownlake-work/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that needs an OS path (tests only)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local_master(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return max(1, int(spark.sparkContext.defaultParallelism or os.cpu_count() or 1))
