@@ -49,7 +49,7 @@ def deck_leaderboard(
 
 # --- card statistics (C14, C20, C21) ------------------------------------------
 
-def card_battle_stats(battles: DataFrame, unique_battles: bool = True) -> DataFrame:
+def card_battle_stats(battles: DataFrame, unique_battles: bool = True, distinct_cards: bool = False) -> DataFrame:
     """Per card: distinct battles holding it and wins counted per listing.
 
     The original counts ``COUNT(DISTINCT battle_id)`` over the unnested deck and
@@ -58,16 +58,21 @@ def card_battle_stats(battles: DataFrame, unique_battles: bool = True) -> DataFr
     distinct count equals a plain count over the *distinct* cards of each deck,
     and the win sum equals the card's multiplicity in winning decks. That plan
     has no distinct aggregation: one partial/final aggregate keyed by card.
+
+    ``distinct_cards=True`` counts a card once per battle in wins too, so a
+    rate never passes 100 %.
     """
     if not unique_battles:
-        exploded = battles.select("battle_id", "result", F.explode("player_deck").alias("card_name"))
+        deck = F.array_distinct("player_deck") if distinct_cards else F.col("player_deck")
+        exploded = battles.select("battle_id", "result", F.explode(deck).alias("card_name"))
         return exploded.groupBy("card_name").agg(
             F.countDistinct("battle_id").alias("battles_with_card"),
             X.count_if(X.is_win()).alias("wins_with_card"),
         )
     per_card = battles.select(
         "result", "player_deck", F.explode(F.array_distinct("player_deck")).alias("card_name"))
-    win_listings = F.when(X.is_win(), X.multiplicity("player_deck", "card_name")).otherwise(F.lit(0))
+    listed = F.lit(1) if distinct_cards else X.multiplicity("player_deck", "card_name")
+    win_listings = F.when(X.is_win(), listed).otherwise(F.lit(0))
     return per_card.groupBy("card_name").agg(
         F.count(F.lit(1)).alias("battles_with_card"),
         F.sum(win_listings).cast("bigint").alias("wins_with_card"),
@@ -81,9 +86,10 @@ def card_leaderboard(
     k: int | None = 15,
     order_by: str = "win_rate_pct",
     unique_battles: bool = True,
+    distinct_cards: bool = False,
 ) -> DataFrame:
     """C14 (and C21 with other arguments): card win rate, from ``min_battles``, top k."""
-    stats = card_battle_stats(_with_types(battles, types), unique_battles)
+    stats = card_battle_stats(_with_types(battles, types), unique_battles, distinct_cards)
     kept = stats.where(F.col("battles_with_card") >= min_battles).withColumn(
         "win_rate_pct", X.pct("wins_with_card", "battles_with_card"))
     out = kept.select("card_name", "battles_with_card", "wins_with_card", "win_rate_pct")

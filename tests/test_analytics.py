@@ -40,6 +40,10 @@ def test_card_listed_twice_rate_over_100(spark):
           for r in A.card_leaderboard(df, min_battles=1).collect()}
     assert lit["A"] == (1, 2, 200.0) == x4["A"]
     assert lit == x4
+    for unique in (True, False):
+        once = {r.card_name: r.win_rate_pct for r in
+                A.card_leaderboard(df, min_battles=1, unique_battles=unique, distinct_cards=True).collect()}
+        assert once == {"A": 100.0, "B": 100.0}
 
 
 def random_battles(spark, seed, n=300):
