@@ -105,6 +105,23 @@ def q_stream_ingest_available_now(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(silver)
 
 
+def q_stream_dedup_watermark(spark: SparkSession, sf: str) -> DataFrame:
+    """R2: raw stream -> silver rows -> dropDuplicatesWithinWatermark -> parquet file sink.
+
+    Which duplicate survives depends on arrival order in a stream, so only the
+    columns every copy of a battle shares are returned (one row per battle).
+    """
+    from crownlake.streaming.ingest import silver_battle_stream
+
+    base = scratch_path(spark, "stream-watermark")
+    raw, out, ckpt = f"{base}/raw", f"{base}/silver", f"{base}/checkpoint"
+    R.land_json(R.raw_battle_items(spark, sf), raw)
+    q = (silver_battle_stream(spark, raw).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).select("battle_id", "player_tag", "battle_time", "ingestion_date")
+
+
 def q_parquet_roundtrip_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     """Silver written partitioned by ingestion_date and read back."""
     path = scratch_path(spark, "silver-battles")
@@ -181,6 +198,7 @@ def io_queries() -> dict[str, Query]:
         "bronze_battles_text": q_bronze_battles_text,
         "bronze_profiles": q_bronze_profiles,
         "stream_ingest_available_now": q_stream_ingest_available_now,
+        "stream_dedup_watermark": q_stream_dedup_watermark,
         "parquet_roundtrip_partitioned": q_parquet_roundtrip_partitioned,
         "table_register_repair": q_table_register_repair,
         "row_audit": q_row_audit,
