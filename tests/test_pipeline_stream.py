@@ -121,3 +121,17 @@ def test_reader_accepts_json_lines_and_arrays(spark, tmp_dir):
         f.write(json.dumps([item(None, "20240203T000000.000Z"), item(None, "20240203T010000.000Z")]))
     got = sorted((r.player_tag, r.ingestion_date) for r in R.read_raw_battles(spark, tmp_dir).collect())
     assert got == [("T1", dt.date(2024, 2, 2)), ("T2", dt.date(2024, 2, 3)), ("T2", dt.date(2024, 2, 3))]
+
+
+def test_command_line_pipeline_and_stream(spark, tmp_dir, capsys):
+    from crownlake.__main__ import main
+
+    lake = Lake(tmp_dir)
+    R.land_json(R.raw_battle_items(spark, SF_SMALL), lake.raw_battles)
+    R.land_json(R.raw_profiles(spark, SF_SMALL), lake.raw_profiles)
+    assert main(["pipeline", "--root", tmp_dir, "--database", "t_cli"]) == 0
+    printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
+    assert int(printed["silver_battles"]) == spark.table("t_cli.battles_silver").count()
+    before = spark.read.parquet(lake.silver_battles).count()
+    assert main(["stream", "--root", tmp_dir]) == 0  # everything already in silver: adds nothing
+    assert spark.read.parquet(lake.silver_battles).count() == before
