@@ -27,14 +27,19 @@ def main(argv: list[str] | None = None) -> int:
                    help="landing day (YYYY-MM-DD); repeatable")
     p.add_argument("--run-date", type=dt.date.fromisoformat, default=None,
                    help="stamp every row with this ingestion date (the literal run-clock behaviour)")
+    p.add_argument("--auto-size", action="store_true",
+                   help="size shuffle partitions and scan splits from the bytes under the raw folder")
     s = sub.add_parser("stream", help="one availableNow run of the raw battle stream into silver")
     s.add_argument("--root", required=True)
     args = parser.parse_args(argv)
 
     from crownlake.plans.pipeline import Lake, run_pipeline
-    from crownlake.session import build_session
+    from crownlake.session import build_session, path_bytes, size_for_input
 
     spark = build_session()
+    if getattr(args, "auto_size", False):
+        lake = Lake(args.root)
+        size_for_input(spark, path_bytes(spark, lake.raw_battles) + path_bytes(spark, lake.raw_profiles))
     if args.command == "pipeline":
         audit = run_pipeline(spark, args.root, database=args.database, days=args.day or None,
                              incremental=args.incremental, run_date=args.run_date)

@@ -91,3 +91,40 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     base = base.rstrip("/")
     return f"{base}/crownlake-work/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# Target sizes for one task's share of a shuffle or of a file scan.
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+SCAN_SPLIT_BYTES = 256 * 1024 * 1024
+MIN_SHUFFLE_PARTITIONS = 200
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
+def size_for_input(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    """Size shuffles and scans from the input size and apply it to the session.
+
+    Shuffle partitions start at about one per 128 MB of input (bounded), so the
+    largest stage fits executor memory without relying on spill; AQE then
+    coalesces small partitions toward the advisory size and splits skewed ones.
+    At 100 TB this gives ~800k -> capped at 200k initial partitions of ~0.5 GB
+    pre-coalescing input each; scans read 256 MB splits.
+    """
+    partitions = -(-int(input_bytes) // SHUFFLE_PARTITION_BYTES)
+    partitions = max(MIN_SHUFFLE_PARTITIONS, min(MAX_SHUFFLE_PARTITIONS, partitions))
+    settings = {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(SCAN_SPLIT_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION_BYTES),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * SCAN_SPLIT_BYTES),
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    return settings
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total bytes under a path (any Hadoop filesystem)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0

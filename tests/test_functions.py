@@ -111,3 +111,22 @@ def test_thousands_and_percent_text(spark):
     df = spark.createDataFrame([(1234567, 55.5)], "n int, p double")
     r = df.select(X.thousands("n").alias("t"), X.percent_text("p").alias("q")).first()
     assert (r.t, r.q) == ("1,234,567", "55.5%")
+
+
+def test_size_for_input_bounds(spark):
+    from crownlake.session import path_bytes, size_for_input
+
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]
+    saved = {k: spark.conf.get(k) for k in keys}
+    try:
+        assert size_for_input(spark, 100 * 1024 ** 4)["spark.sql.shuffle.partitions"] == "200000"
+        assert size_for_input(spark, 1024 ** 3)["spark.sql.shuffle.partitions"] == "200"
+        assert size_for_input(spark, 64 * 1024 ** 4)["spark.sql.shuffle.partitions"] == str(64 * 1024 ** 4 // (128 * 1024 ** 2))
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(256 * 1024 * 1024)
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert path_bytes(spark, "/root/testdata/sf0.001/orders.parquet") > 0
+    assert path_bytes(spark, "/nonexistent/path") == 0
