@@ -123,7 +123,7 @@ def test_size_for_input_bounds(spark):
     try:
         assert size_for_input(spark, 100 * 1024 ** 4)["spark.sql.shuffle.partitions"] == "200000"
         assert size_for_input(spark, 1024 ** 3)["spark.sql.shuffle.partitions"] == "200"
-        assert size_for_input(spark, 64 * 1024 ** 4)["spark.sql.shuffle.partitions"] == str(64 * 1024 ** 4 // (128 * 1024 ** 2))
+        assert size_for_input(spark, 16 * 1024 ** 4)["spark.sql.shuffle.partitions"] == str(16 * 1024 ** 4 // (128 * 1024 ** 2))
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(256 * 1024 * 1024)
     finally:
         for k, v in saved.items():
