@@ -141,3 +141,52 @@ def test_command_line_pipeline_and_stream(spark, tmp_dir, capsys):
     before = spark.read.parquet(lake.silver_battles).count()
     assert main(["stream", "--root", tmp_dir]) == 0  # everything already in silver: adds nothing
     assert spark.read.parquet(lake.silver_battles).count() == before
+
+
+def test_run_stopped_between_state_and_silver_is_finished_next_time(spark, tmp_dir):
+    from crownlake.operators.gold import GOLD_TABLE_NAMES
+    from crownlake.plans import gold_state as GS
+    from crownlake.plans.pipeline import bronze_to_silver
+    from crownlake.sources import sinks as K
+
+    items = R.raw_battle_items(spark, SF_SMALL)
+    profiles = R.raw_profiles(spark, SF_SMALL)
+    days = landed_days(items)
+    first, second = days[:-1], days[-1:]
+    lake = Lake(os.path.join(tmp_dir, "crash"))
+    R.land_json(items.where(F.col("ingestion_date").isin(first)), lake.raw_battles)
+    R.land_json(profiles.where(F.col("ingestion_date").isin(first)), lake.raw_profiles)
+    run_pipeline(spark, lake.root, database="t_crash")
+    R.land_json(items.where(F.col("ingestion_date").isin(second)), lake.raw_battles, mode="append")
+    R.land_json(profiles.where(F.col("ingestion_date").isin(second)), lake.raw_profiles, mode="append")
+
+    # A run that stages its delta and writes its state version, then stops.
+    from crownlake.plans.pipeline import raw_to_bronze, _day_paths, _read_many
+    raw_to_bronze(spark, lake, second)
+    bb = _read_many(spark, _day_paths(lake.bronze_battles, second),
+                    lambda s, p: R.read_bronze(s, p, R.BRONZE_BATTLES_LANDED))
+    bp = _read_many(spark, _day_paths(lake.bronze_profiles, second),
+                    lambda s, p: R.read_bronze(s, p, R.BRONZE_PROFILE_LANDED))
+    import time
+    run_id = time.time_ns()
+    _, delta = bronze_to_silver(spark, lake, bb, bp, incremental=True, run_id=run_id)
+    fresh = {**GS.battle_state(spark.read.parquet(delta["battles"])),
+             "player": GS.profile_state(spark.read.parquet(delta["profiles"]))}
+    for n in GS.STATE_NAMES:
+        merged = GS.merge_state(n, spark.read.parquet(GS.latest_version(spark, lake.state(n))), fresh[n])
+        K.write_parquet(merged, f"{lake.state(n)}/v={run_id}")
+    before = spark.read.parquet(lake.silver_battles).count()
+
+    # The next incremental run (nothing new landed) finishes the stopped one.
+    run_pipeline(spark, lake.root, database="t_crash", days=second, incremental=True)
+    assert spark.read.parquet(lake.silver_battles).count() > before
+
+    full = Lake(os.path.join(tmp_dir, "full"))
+    R.land_json(items, full.raw_battles)
+    R.land_json(profiles, full.raw_profiles)
+    run_pipeline(spark, full.root, database="t_crash_full")
+    assert as_set(spark.read.parquet(lake.silver_battles)) == as_set(spark.read.parquet(full.silver_battles))
+    for name in GOLD_TABLE_NAMES:
+        a, b = spark.read.parquet(lake.gold(name)), spark.read.parquet(full.gold(name))
+        cols = sorted(b.columns)
+        assert as_set(a, *cols) == as_set(b, *cols), name
