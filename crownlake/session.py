@@ -70,26 +70,27 @@ def apply_job_settings(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The folder comes from ``spark.checkpoint.dir`` (or the context's checkpoint
-    dir). Only when neither is set — local runs and tests — a folder under the
-    system temp dir is created and registered.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
+    when neither is set — local runs and tests — a folder under the system
+    temp dir is registered with ``SparkContext.setCheckpointDir`` (the config
+    key itself cannot be changed on a running session).
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    local = tempfile.mkdtemp(prefix="crownlake-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+        return configured
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="crownlake-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder for intermediate tables under the shared folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    base = base.rstrip("/")
+    base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/crownlake-work/{name}-{uuid.uuid4().hex[:12]}"
 
 
