@@ -55,13 +55,16 @@ def write_parquet(
 
 
 def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = ("ingestion_date",),
-               mode: str = "overwrite", audit: str | None = None) -> dict:
-    """JSON sink partitioned by landing day (dynamic overwrite)."""
+               mode: str = "overwrite", audit: str | None = None,
+               metrics: dict[str, F.Column] | None = None) -> dict:
+    """JSON sink partitioned by landing day (dynamic overwrite).
+
+    ``metrics`` are extra aggregates observed on the same pass as the row count."""
     obs = None
     df = rebalanced(df, partition_by)
     if audit:
         # Observed after the rebalance exchange, i.e. in the writing stage.
-        df, obs = observed(df, audit)
+        df, obs = observed(df, audit, **(metrics or {}))
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -161,10 +161,10 @@ def test_run_stopped_between_state_and_silver_is_finished_next_time(spark, tmp_d
     R.land_json(profiles.where(F.col("ingestion_date").isin(second)), lake.raw_profiles, mode="append")
 
     # A run that stages its delta and writes its state version, then stops.
-    from crownlake.plans.pipeline import raw_to_bronze, _day_paths, _read_many
+    from crownlake.plans.pipeline import raw_to_bronze, _day_paths, _read_many, kept_battles
     raw_to_bronze(spark, lake, second)
-    bb = _read_many(spark, _day_paths(lake.bronze_battles, second),
-                    lambda s, p: R.read_bronze(s, p, R.BRONZE_BATTLES_LANDED))
+    bb = kept_battles(_read_many(spark, _day_paths(lake.bronze_battles, second),
+                                 lambda s, p: R.read_bronze(s, p, R.BRONZE_BATTLES_LANDED)))
     bp = _read_many(spark, _day_paths(lake.bronze_profiles, second),
                     lambda s, p: R.read_bronze(s, p, R.BRONZE_PROFILE_LANDED))
     import time
@@ -190,3 +190,20 @@ def test_run_stopped_between_state_and_silver_is_finished_next_time(spark, tmp_d
         a, b = spark.read.parquet(lake.gold(name)), spark.read.parquet(full.gold(name))
         cols = sorted(b.columns)
         assert as_set(a, *cols) == as_set(b, *cols), name
+
+
+def test_rejects_land_in_bronze_with_reason_in_one_pass(spark, tmp_dir):
+    from crownlake.plans.pipeline import rejected_battles
+
+    lake = Lake(tmp_dir)
+    day = os.path.join(lake.raw_battles, "ingestion_date=2024-01-01")
+    bad = item("P", "20240101T110000.000Z")
+    bad["team"] = []
+    write_items(os.path.join(day, "pull.json"), [item("P", "20240101T100000.000Z"), bad])
+    pday = os.path.join(lake.raw_profiles, "ingestion_date=2024-01-01")
+    write_items(os.path.join(pday, "pull.json"), [{
+        "tag": "#P", "name": "p", "expLevel": 1, "trophies": 1, "bestTrophies": 1, "wins": 1, "losses": 0,
+        "battleCount": 1, "player_tag": "P"}])
+    audit = {r.stage: r.rows for r in run_pipeline(spark, tmp_dir, database="t_rej").collect()}
+    assert (audit["bronze_battles"], audit["bronze_battle_rejects"], audit["silver_battles"]) == (1, 1, 1)
+    assert [r.reject_reason for r in rejected_battles(spark, lake).collect()] == ["missing team"]
