@@ -49,7 +49,8 @@ def main(argv: list[str] | None = None) -> int:
         from crownlake.streaming.ingest import run_available_now
 
         lake = Lake(args.root)
-        run_available_now(spark, lake.raw_battles, lake.silver_battles, f"{args.root.rstrip('/')}/_checkpoints/battles")
+        run_available_now(spark, lake.raw_battles, lake.silver_battles,
+                          f"{args.root.rstrip('/')}/_checkpoints/battles", lake=lake)
     return 0
 
 

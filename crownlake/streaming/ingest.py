@@ -46,6 +46,37 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def merge_into_lake(batch: DataFrame, lake) -> None:
+    """Merge one micro-batch into silver *and* the gold state of a lake.
+
+    Same protocol as an incremental pipeline run: the batch's new battles are
+    staged, merged into a new gold state version, then appended to silver; the
+    gold tables and the touched fact partitions are refreshed. Stream and
+    batch runs can then feed one lake without gold missing rows. A lake with
+    no gold state yet only gets the silver append (the first full pipeline run
+    builds the state from silver).
+    """
+    import time
+
+    from crownlake.plans import gold_state as GS
+    from crownlake.plans.pipeline import recover_staged, silver_to_gold
+
+    spark = batch.sparkSession
+    if not all(GS.latest_version(spark, lake.state(n)) for n in GS.STATE_NAMES):
+        merge_into_silver(batch, lake.silver_battles)
+        return
+    kept, _rejects = normalize_battles(batch)
+    rows = silver_battle_rows(kept)
+    fresh = keep_first(rows, ["battle_id"], ["ingestion_date", "_source_seq"]).select(*SILVER_BATTLE_COLUMNS)
+    fresh = drop_seen(fresh, spark.read.parquet(lake.silver_battles), ["battle_id"])
+    recovered = recover_staged(spark, lake)
+    run_id = time.time_ns()
+    stage = f"{lake.staging(run_id)}/battles"
+    fresh.write.parquet(stage)
+    days = [r.ingestion_date for r in spark.read.parquet(stage).select("ingestion_date").distinct().collect()]
+    silver_to_gold(spark, lake, sorted(set(days + recovered)) or None, {"battles": stage, "profiles": None}, run_id)
+
+
 def merge_into_silver(batch: DataFrame, silver_path: str) -> None:
     """Merge one micro-batch of raw items into the silver battle table."""
     spark = batch.sparkSession
@@ -73,11 +104,20 @@ def ingest_battles(
     available_now: bool = True,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
+    lake=None,
 ) -> StreamingQuery:
-    """Start the raw -> silver battle stream (R1). Returns the running query."""
+    """Start the raw -> silver battle stream (R1). Returns the running query.
+
+    With ``lake`` (a ``plans.pipeline.Lake``) each micro-batch also merges into
+    the lake's gold state (``merge_into_lake``)."""
     stream = raw_battle_stream(spark, raw_path, max_files_per_trigger)
-    writer = (stream.writeStream.option("checkpointLocation", checkpoint_path)
-              .foreachBatch(lambda df, _epoch: merge_into_silver(df, silver_path)))
+    if lake is not None:
+        def sink(df, _epoch):
+            merge_into_lake(df, lake)
+    else:
+        def sink(df, _epoch):
+            merge_into_silver(df, silver_path)
+    writer = stream.writeStream.option("checkpointLocation", checkpoint_path).foreachBatch(sink)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
@@ -85,9 +125,10 @@ def ingest_battles(
     return writer.start()
 
 
-def run_available_now(spark: SparkSession, raw_path: str, silver_path: str, checkpoint_path: str) -> None:
+def run_available_now(spark: SparkSession, raw_path: str, silver_path: str, checkpoint_path: str,
+                      lake=None) -> None:
     """One scheduled run: process everything landed since the last run, then stop."""
-    q = ingest_battles(spark, raw_path, silver_path, checkpoint_path, available_now=True)
+    q = ingest_battles(spark, raw_path, silver_path, checkpoint_path, available_now=True, lake=lake)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -207,3 +207,28 @@ def test_rejects_land_in_bronze_with_reason_in_one_pass(spark, tmp_dir):
     audit = {r.stage: r.rows for r in run_pipeline(spark, tmp_dir, database="t_rej").collect()}
     assert (audit["bronze_battles"], audit["bronze_battle_rejects"], audit["silver_battles"]) == (1, 1, 1)
     assert [r.reject_reason for r in rejected_battles(spark, lake).collect()] == ["missing team"]
+
+
+def test_stream_into_lake_keeps_gold_state_complete(spark, tmp_dir):
+    from crownlake.operators.gold import GOLD_TABLE_NAMES
+
+    items = R.raw_battle_items(spark, SF_SMALL)
+    profiles = R.raw_profiles(spark, SF_SMALL)
+    days = landed_days(items)
+    first, second = days[:-2], days[-2:]
+    lake = Lake(os.path.join(tmp_dir, "mixed"))
+    R.land_json(items.where(F.col("ingestion_date").isin(first)), lake.raw_battles)
+    R.land_json(profiles.where(F.col("ingestion_date").isin(first)), lake.raw_profiles)
+    run_pipeline(spark, lake.root, database="t_mixed")
+    R.land_json(items.where(F.col("ingestion_date").isin(second)), lake.raw_battles, mode="append")
+    run_available_now(spark, lake.raw_battles, lake.silver_battles, os.path.join(tmp_dir, "ck"), lake=lake)
+
+    full = Lake(os.path.join(tmp_dir, "full"))
+    R.land_json(items, full.raw_battles)
+    R.land_json(profiles.where(F.col("ingestion_date").isin(first)), full.raw_profiles)
+    run_pipeline(spark, full.root, database="t_mixed_full")
+    assert as_set(spark.read.parquet(lake.silver_battles)) == as_set(spark.read.parquet(full.silver_battles))
+    for name in GOLD_TABLE_NAMES:
+        a, b = spark.read.parquet(lake.gold(name)), spark.read.parquet(full.gold(name))
+        cols = sorted(b.columns)
+        assert as_set(a, *cols) == as_set(b, *cols), name
