@@ -232,3 +232,18 @@ def test_stream_into_lake_keeps_gold_state_complete(spark, tmp_dir):
         a, b = spark.read.parquet(lake.gold(name)), spark.read.parquet(full.gold(name))
         cols = sorted(b.columns)
         assert as_set(a, *cols) == as_set(b, *cols), name
+
+
+def test_state_versions_are_pruned(spark, tmp_dir):
+    from crownlake.plans import gold_state as GS
+    from crownlake.sources import sinks as K
+
+    base = os.path.join(tmp_dir, "state")
+    df = spark.createDataFrame([(1,)], "x int")
+    for vid in (10, 20, 30, 40):
+        K.write_parquet(df, f"{base}/v={vid}")
+    os.makedirs(f"{base}/v=5")    # stopped run, older than anything kept
+    os.makedirs(f"{base}/v=50")   # a run still writing
+    GS.prune_versions(spark, base, keep=2)
+    assert sorted(os.listdir(base)) == ["v=30", "v=40", "v=50"]
+    assert GS.latest_version(spark, base).endswith("v=40")
