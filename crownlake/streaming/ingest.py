@@ -21,6 +21,8 @@ source of truth for full history).
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -56,8 +58,6 @@ def merge_into_lake(batch: DataFrame, lake) -> None:
     no gold state yet only gets the silver append (the first full pipeline run
     builds the state from silver).
     """
-    import time
-
     from crownlake.plans import gold_state as GS
     from crownlake.plans.pipeline import recover_staged, silver_to_gold
 
@@ -65,11 +65,11 @@ def merge_into_lake(batch: DataFrame, lake) -> None:
     if not all(GS.latest_version(spark, lake.state(n)) for n in GS.STATE_NAMES):
         merge_into_silver(batch, lake.silver_battles)
         return
+    recovered = recover_staged(spark, lake)  # finish a stopped run before comparing with silver
     kept, _rejects = normalize_battles(batch)
     rows = silver_battle_rows(kept)
     fresh = keep_first(rows, ["battle_id"], ["ingestion_date", "_source_seq"]).select(*SILVER_BATTLE_COLUMNS)
     fresh = drop_seen(fresh, spark.read.parquet(lake.silver_battles), ["battle_id"])
-    recovered = recover_staged(spark, lake)
     run_id = time.time_ns()
     stage = f"{lake.staging(run_id)}/battles"
     fresh.write.parquet(stage)
