@@ -101,6 +101,13 @@ def repair_table(spark: SparkSession, qualified: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE {qualified}")
 
 
+def add_partitions(spark: SparkSession, qualified: str, column: str, values: Sequence) -> None:
+    """Make known new partitions visible without listing the whole table."""
+    specs = " ".join(f"PARTITION (`{column}` = '{v}')" for v in values)
+    if specs:
+        spark.sql(f"ALTER TABLE {qualified} ADD IF NOT EXISTS {specs}")
+
+
 def list_databases(spark: SparkSession) -> list[str]:
     """``SHOW DATABASES``."""
     return [d.name for d in spark.catalog.listDatabases()]
