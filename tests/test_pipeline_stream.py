@@ -247,3 +247,22 @@ def test_state_versions_are_pruned(spark, tmp_dir):
     GS.prune_versions(spark, base, keep=2)
     assert sorted(os.listdir(base)) == ["v=30", "v=40", "v=50"]
     assert GS.latest_version(spark, base).endswith("v=40")
+
+
+def test_command_line_auto_size(spark, tmp_dir):
+    from crownlake.__main__ import main
+
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]
+    saved = {k: spark.conf.get(k) for k in keys}
+    lake = Lake(tmp_dir)
+    R.land_json(R.raw_battle_items(spark, SF_SMALL), lake.raw_battles)
+    R.land_json(R.raw_profiles(spark, SF_SMALL), lake.raw_profiles)
+    try:
+        assert main(["pipeline", "--root", tmp_dir, "--database", "t_cli_size", "--auto-size"]) == 0
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"  # small input: the floor
+        assert spark.table("t_cli_size.fact_battles").count() > 0
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
