@@ -35,3 +35,13 @@ def test_drop_seen(spark):
     existing = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
     new = spark.createDataFrame([("b", 1), ("d", 2), ("d", 3), ("e", 4)], "id string, x int")
     assert rows(drop_seen(new, existing, ["id"])) == [("d", 2), ("d", 3), ("e", 4)]
+
+
+def test_drop_seen_probes_the_large_side_without_shuffling_it(spark):
+    existing = spark.range(200_000).selectExpr("cast(id as string) as id").repartition(8)
+    new = spark.createDataFrame([("5",), ("x",)], "id string")
+    out = drop_seen(new, existing, ["id"])
+    assert [r.id for r in out.collect()] == ["x"]
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # the (small) new keys are the broadcast side of the semi join
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
