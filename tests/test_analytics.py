@@ -192,3 +192,11 @@ def test_gold_from_state_equals_direct_gold(spark):
         cols = sorted(want.columns)
         assert sorted(got.columns) == cols, name
         assert as_set(got.select(*cols)) == as_set(want.select(*cols)), name
+
+
+def test_trophies_by_date_approx_players(spark):
+    rows = [(f"P{i}", 100 + i, 1, 1, 2, T0) for i in range(200)]
+    df = profiles(spark, rows)
+    exact = A.trophies_by_date(df).first().unique_players
+    approx = A.trophies_by_date(df, approx=True).first().unique_players
+    assert exact == 200 and abs(approx - exact) <= 0.05 * exact
