@@ -161,14 +161,15 @@ def elixir_by_outcome_simple(battles: DataFrame) -> DataFrame:
 
 # --- C17, C18, C19, C25 (profiles) -------------------------------------------
 
-def trophies_by_date(profiles: DataFrame, approx: bool = False) -> DataFrame:
+def trophies_by_date(profiles: DataFrame, approx: bool = False, rsd: float = 0.05) -> DataFrame:
     """C17: players, average and maximum trophies per ingestion date, newest first.
 
     ``approx=True`` counts players with ``approx_count_distinct`` (HyperLogLog++,
-    ~5 % relative error): one partial/final aggregate with fixed-size sketches
-    instead of the (date, player) pre-aggregation an exact distinct needs.
+    relative standard deviation ``rsd``): one partial/final aggregate with
+    fixed-size sketches instead of the (date, player) pre-aggregation an exact
+    distinct needs.
     """
-    players = F.approx_count_distinct("player_tag") if approx else F.countDistinct("player_tag")
+    players = F.approx_count_distinct("player_tag", rsd) if approx else F.countDistinct("player_tag")
     g = profiles.groupBy("ingestion_date").agg(
         players.alias("unique_players"),
         F.round(F.avg("trophies"), 0).alias("avg_trophies"),
