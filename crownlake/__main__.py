@@ -6,7 +6,8 @@
 
 ``pipeline`` runs raw -> bronze -> silver -> gold and registers the tables
 (prints the row audit). ``stream`` runs one availableNow pass of the battle
-stream over the raw folder into silver (checkpoint under the lake root).
+stream over the raw folder into silver and the gold state (checkpoint under
+the lake root).
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ def main(argv: list[str] | None = None) -> int:
                    help="stamp every row with this ingestion date (the literal run-clock behaviour)")
     p.add_argument("--auto-size", action="store_true",
                    help="size shuffle partitions and scan splits from the bytes under the raw folder")
-    s = sub.add_parser("stream", help="one availableNow run of the raw battle stream into silver")
+    s = sub.add_parser("stream", help="one availableNow run of the raw battle stream into silver and the gold state")
     s.add_argument("--root", required=True)
     args = parser.parse_args(argv)
 
