@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from crownlake.llm import exact_dedup, language_id, packing, quality, token_counts
+from crownlake.llm import exact_dedup, fingerprints, language_id, packing, quality, secret_scan, token_counts
 from crownlake.llm.common import prepare
 
 
@@ -26,10 +27,23 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_report(documents(spark, sf_dir))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(documents(spark, sf_dir))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("kinds", lambda k: k == F.lit(kind))).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op4_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_report(documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(documents(spark, sf_dir))
 
