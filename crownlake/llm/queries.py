@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crownlake.llm import exact_dedup, fingerprints, language_id, packing, quality, secret_scan, token_counts
+from crownlake.llm import exact_dedup, fingerprints, language_id, packing, pii, quality, secret_scan, token_counts
 from crownlake.llm.common import prepare
 
 
@@ -36,6 +36,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(documents(spark, sf_dir))
+
+
 def op4_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
