@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crownlake.llm import exact_dedup, fingerprints, language_id, packing, pii, quality, secret_scan, token_counts
+from crownlake.llm import exact_dedup, fingerprints, language_id, mixing, packing, pii, quality, secret_scan, token_counts
 from crownlake.llm.common import prepare
 
 
@@ -56,6 +56,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op9_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many tokens as there are, at 98 % of the highest entropy over sources, no source over four times."""
+    return mixing.mixture(documents(spark, sf_dir), target=0.98, limit=4.0)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
 
