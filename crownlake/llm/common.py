@@ -68,3 +68,27 @@ def utf8_bytes(texts_: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def filled(texts_: pa.Array) -> pa.Array:
     """A string array with nulls read as empty texts."""
     return texts_.fill_null("") if texts_.null_count else texts_
+
+
+# Bits of the filter below: one megabyte in 64-bit words, whatever the input.
+FILTER_BITS = 1 << 23
+
+
+def possibly_in(docs: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows of ``docs`` whose ``doc_id`` may be in ``ids[column]``: all that are, few others while the filter is sparse.
+
+    A bit per hash, joined as at most 131,072 words, so rows that no join would keep need not be shuffled for it.
+    Very many ids fill the filter; it then passes more rows and nothing else changes.
+    """
+
+    def slot(c) -> F.Column:
+        return F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+
+    bits = (
+        ids.select(slot(F.col(column).cast("long")).alias("__slot"))
+        .groupBy(F.floor(F.col("__slot") / 64).cast("int").alias("__word"))
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("__slot") % 64).cast("int"))).alias("__bits"))
+    )
+    own = slot(F.col("doc_id").cast("long"))
+    met = docs.join(F.broadcast(bits), F.floor(own / 64).cast("int") == F.col("__word"))
+    return met.where(F.getbit("__bits", (own % 64).cast("int")) == 1).drop("__word", "__bits")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crownlake.llm import exact_dedup, fingerprints, language_id, mixing, packing, pii, quality, secret_scan, token_counts
+from crownlake.llm import exact_dedup, fingerprints, language_id, mixing, ngram_join, packing, pii, quality, secret_scan, token_counts
 from crownlake.llm.common import prepare
 
 
@@ -48,6 +48,10 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_report(documents(spark, sf_dir))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked_groups(documents(spark, sf_dir), n=3, percent=90)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(documents(spark, sf_dir))
 
