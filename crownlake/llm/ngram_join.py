@@ -13,7 +13,8 @@ Documents with equal sets form a class, and only classes are compared.
    pairs of documents.
 4. In a pair of cells, each class meets the other cell's first class only. What
    the suffix filter (difference of the profiles) leaves is verified once per
-   pair on whole sets. Components of these links unite most of each group.
+   pair on whole sets: of each class first the pair with the smallest class,
+   then those that these links have not united yet.
 5. Only classes of one pair of cells that are still in different components are
    paired, filtered and verified as well. No link between components is lost.
 
@@ -158,10 +159,8 @@ def _count(n: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNT_SLOTS, np.int64)
         for batch in batches:
-            for grams in _sets_of(batch.column("text"), n):
-                counts += np.bincount(_slot(grams), minlength=COUNT_SLOTS) if len(grams) > COUNT_SLOTS else 0
-                if len(grams) <= COUNT_SLOTS:
-                    np.add.at(counts, _slot(grams), 1)
+            if sets := list(_sets_of(batch.column("text"), n)):
+                counts += np.bincount(_slot(np.concatenate(sets)), minlength=COUNT_SLOTS)
         if counts.any():
             parts = np.split(counts, COUNT_SLICES)
             yield pa.RecordBatch.from_pydict(
@@ -306,13 +305,23 @@ class _Join:
             both = both.join(whole.select(F.col("class").alias(side), F.col("grams").alias(grams)), side)
         return stored(both.select("a", "b", "x", "y").mapInArrow(_verify(self.percent), "a bigint, b bigint"), f"ngram-{name}-links")
 
+    def apart(self, pairs: DataFrame, links: DataFrame) -> DataFrame:
+        """The pairs whose classes the links leave in different components."""
+        known = stored(components(links), "ngram-known")
+        for side in ("a", "b"):
+            label = known.select(F.col("vertex").alias(side), F.col("label").alias(f"l{side}"))
+            pairs = pairs.join(label, side, "left").withColumn(f"l{side}", F.coalesce(f"l{side}", side))
+        return pairs.where("la <> lb").select("a", "b")
+
     def labels(self) -> DataFrame:
         """``class, label`` of every class that links with another one."""
         postings = self.postings()
         cells = stored(self.cell_pairs(postings), "ngram-cells")
         star = postings.join(cells, ["gram", "size", "place"]).select("class", "size", F.col("first2").alias("class2"), "size2")
         tried = stored(self.filtered(star), "ngram-stars")
-        links = self.verified(tried, "star")
+        smallest = stored(tried.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "ngram-smallest")
+        links = self.verified(smallest, "star")
+        links = links.unionByName(self.verified(self.apart(tried.join(smallest, ["a", "b"], "left_anti"), links), "stars"))
         known = stored(components(links), "ngram-labels")
         labelled = postings.join(known.withColumnRenamed("vertex", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
         # Pairs of cells whose classes are not all in one component yet.
