@@ -20,11 +20,11 @@ from crownlake.operators.streaks import streak_runs, streak_summary
 def top_k(df: DataFrame, order: Sequence[Column], k: int | None) -> DataFrame:
     """``ORDER BY ... LIMIT k`` (planned as TakeOrderedAndProject: per-partition top-k, then merge)."""
     ordered = df.orderBy(*order)
-    return ordered.limit(k) if k else ordered
+    return ordered if k is None else ordered.limit(k)
 
 
 def _with_types(df: DataFrame, types: Sequence[str] | None) -> DataFrame:
-    return df.where(F.col("battle_type").isin(*types)) if types else df
+    return df.where(F.col("battle_type").isin(*types)) if types is not None else df
 
 
 # --- C13 -------------------------------------------------------------------

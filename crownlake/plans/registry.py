@@ -105,21 +105,45 @@ def q_stream_ingest_available_now(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(silver)
 
 
-def q_stream_dedup_watermark(spark: SparkSession, sf: str) -> DataFrame:
-    """R2: raw stream -> silver rows -> dropDuplicatesWithinWatermark -> parquet file sink.
+def q_stream_dedup_late(spark: SparkSession, sf: str) -> DataFrame:
+    """R2: the newer half lands and is streamed first, then the older half: no battle is lost or doubled.
 
-    Which duplicate survives depends on arrival order in a stream, so only the
-    columns every copy of a battle shares are returned (one row per battle).
+    Which copy of a repeated battle stays depends on the landing order, so only
+    the columns that every copy shares are returned.
     """
-    from crownlake.streaming.ingest import silver_battle_stream
+    from crownlake.streaming.ingest import run_available_now
 
-    base = scratch_path(spark, "stream-watermark")
-    raw, out, ckpt = f"{base}/raw", f"{base}/silver", f"{base}/checkpoint"
-    R.land_json(R.raw_battle_items(spark, sf), raw)
-    q = (silver_battle_stream(spark, raw).writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out).select("battle_id", "player_tag", "battle_time", "ingestion_date")
+    base = scratch_path(spark, "stream-late")
+    raw, silver, ckpt = f"{base}/raw", f"{base}/silver", f"{base}/checkpoint"
+    items = R.raw_battle_items(spark, sf)
+    split = items.agg(F.percentile_approx(F.unix_date("ingestion_date"), 0.5).alias("d")).first()["d"]
+    newer = F.unix_date("ingestion_date") > F.lit(split)
+    for wave in (newer, ~newer):
+        R.land_json(items.where(wave), raw, mode="append")
+        run_available_now(spark, raw, silver, ckpt)
+    return spark.read.parquet(silver).select("battle_id", "player_tag", "battle_time")
+
+
+def q_pipeline_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """All days but the last in a full run, the last one twice as an incremental run; values of two gold tables."""
+    from crownlake.plans.pipeline import Lake, run_pipeline
+
+    lake = Lake(scratch_path(spark, "lake"))
+    items, profiles = R.raw_battle_items(spark, sf), R.raw_profiles(spark, sf)
+    last = items.agg(F.max("ingestion_date").alias("d")).first()["d"]
+    R.land_json(items.where(F.col("ingestion_date") < last), lake.raw_battles)
+    R.land_json(profiles, lake.raw_profiles)
+    database = "crownlake_" + lake.root.rsplit("-", 1)[-1]
+    run_pipeline(spark, lake.root, database)
+    R.land_json(items.where(F.col("ingestion_date") == last), lake.raw_battles, mode="append")
+    for _ in range(2):
+        run_pipeline(spark, lake.root, database, days=[last], incremental=True)
+    decks = spark.read.parquet(lake.gold("dim_deck")).select(
+        F.lit("deck").alias("table"), F.lit(None).cast("string").alias("player_tag"), F.col("deck_hash").alias("key"),
+        F.col("total_battles").alias("battles"), "wins")
+    cards = spark.read.parquet(lake.gold("metrics_win_rate_by_card")).select(
+        F.lit("card"), "player_tag", "card_name", F.col("appearances"), "wins")
+    return decks.unionAll(cards)
 
 
 def q_parquet_roundtrip_partitioned(spark: SparkSession, sf: str) -> DataFrame:
@@ -198,7 +222,8 @@ def io_queries() -> dict[str, Query]:
         "bronze_battles_text": q_bronze_battles_text,
         "bronze_profiles": q_bronze_profiles,
         "stream_ingest_available_now": q_stream_ingest_available_now,
-        "stream_dedup_watermark": q_stream_dedup_watermark,
+        "stream_dedup_late": q_stream_dedup_late,
+        "pipeline_incremental": q_pipeline_incremental,
         "parquet_roundtrip_partitioned": q_parquet_roundtrip_partitioned,
         "table_register_repair": q_table_register_repair,
         "row_audit": q_row_audit,

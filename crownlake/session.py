@@ -71,8 +71,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set — local runs and tests — a folder under the system
-    temp dir is registered with ``SparkContext.setCheckpointDir`` (the config
+    when neither is set, and the master is local (tests), a folder under the
+    system temp dir is registered with ``SparkContext.setCheckpointDir`` (the config
     key itself cannot be changed on a running session).
     """
     sc = spark.sparkContext
@@ -84,6 +84,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="crownlake-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -98,20 +100,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 SCAN_SPLIT_BYTES = 256 * 1024 * 1024
 MIN_SHUFFLE_PARTITIONS = 200
-MAX_SHUFFLE_PARTITIONS = 200_000
 
 
 def size_for_input(spark: SparkSession, input_bytes: int) -> dict[str, str]:
     """Size shuffles and scans from the input size and apply it to the session.
 
-    Shuffle partitions start at about one per 128 MB of input (bounded), so the
+    Shuffle partitions start at about one per 128 MB of input (at least 200), so the
     largest stage fits executor memory without relying on spill; AQE then
     coalesces small partitions toward the advisory size and splits skewed ones.
-    At 100 TB this gives ~800k -> capped at 200k initial partitions of ~0.5 GB
-    pre-coalescing input each; scans read 256 MB splits.
+    At 100 TB this gives ~800k initial partitions; scans read 256 MB splits.
     """
     partitions = -(-int(input_bytes) // SHUFFLE_PARTITION_BYTES)
-    partitions = max(MIN_SHUFFLE_PARTITIONS, min(MAX_SHUFFLE_PARTITIONS, partitions))
+    partitions = max(MIN_SHUFFLE_PARTITIONS, partitions)
     settings = {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(SCAN_SPLIT_BYTES),

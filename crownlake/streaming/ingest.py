@@ -13,24 +13,21 @@ ids already present and appends nothing, so the sink is idempotent.
 Land each pull under a new file name: the file source tracks *paths*, so a
 file rewritten in place is not read again.
 
-R2 — ``dedup_within_watermark`` is the purely streaming form of the battle
-dedup: a watermark on ``battle_time`` bounds the state, and a repeat arriving
-later than the watermark delay is let through (the batch path stays the
-source of truth for full history).
+R2 — overlapping logs: the same merge deduplicates. Its memory is silver itself,
+so a battle is recognised however late a repeat arrives, and history that lands
+after newer days is kept (a watermark would drop it).
 """
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from crownlake.functions import columns as X
 from crownlake.operators.bronze import normalize_battles
 from crownlake.operators.dedup import drop_seen, keep_first
 from crownlake.operators.silver import silver_battle_rows
 from crownlake.schemas import SILVER_BATTLE_COLUMNS
+from crownlake.session import scratch_path
 from crownlake.sources import raw as R
 
 
@@ -49,32 +46,25 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def merge_into_lake(batch: DataFrame, lake) -> None:
-    """Merge one micro-batch into silver *and* the gold state of a lake.
-
-    Same protocol as an incremental pipeline run: the batch's new battles are
-    staged, merged into a new gold state version, then appended to silver; the
-    gold tables and the touched fact partitions are refreshed. Stream and
-    batch runs can then feed one lake without gold missing rows. A lake with
-    no gold state yet only gets the silver append (the first full pipeline run
-    builds the state from silver).
+    """Merge one micro-batch into silver *and* the gold tables of a lake.
+
+    Same steps as an incremental pipeline run (``silver_to_gold``): partials and
+    fact of the touched days, gold, then silver. A batch without a new battle
+    writes nothing. A lake without partials only gets the silver append (the
+    first full pipeline run computes them).
     """
-    from crownlake.plans import gold_state as GS
-    from crownlake.plans.pipeline import recover_staged, silver_to_gold
+    from crownlake.plans.pipeline import silver_to_gold
 
     spark = batch.sparkSession
-    if not all(GS.latest_version(spark, lake.state(n)) for n in GS.STATE_NAMES):
+    if not _path_exists(spark, lake.partial("deck")):
         merge_into_silver(batch, lake.silver_battles)
         return
-    recovered = recover_staged(spark, lake)  # finish a stopped run before comparing with silver
     kept, _rejects = normalize_battles(batch)
     rows = silver_battle_rows(kept)
     fresh = keep_first(rows, ["battle_id"], ["ingestion_date", "_source_seq"]).select(*SILVER_BATTLE_COLUMNS)
-    fresh = drop_seen(fresh, spark.read.parquet(lake.silver_battles), ["battle_id"])
-    run_id = time.time_ns()
-    stage = f"{lake.staging(run_id)}/battles"
-    fresh.write.parquet(stage)
-    days = [r.ingestion_date for r in spark.read.parquet(stage).select("ingestion_date").distinct().collect()]
-    silver_to_gold(spark, lake, sorted(set(days + recovered)) or None, {"battles": stage, "profiles": None}, run_id)
+    staged = scratch_path(spark, "fresh-battles")
+    drop_seen(fresh, spark.read.parquet(lake.silver_battles), ["battle_id"]).write.parquet(staged)
+    silver_to_gold(spark, lake, {"battles": spark.read.parquet(staged)})
 
 
 def merge_into_silver(batch: DataFrame, silver_path: str) -> None:
@@ -132,21 +122,3 @@ def run_available_now(spark: SparkSession, raw_path: str, silver_path: str, chec
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-
-
-def dedup_within_watermark(df: DataFrame, key: str = "battle_id", event_time: str = "battle_time",
-                           delay: str = "2 days") -> DataFrame:
-    """R2: streaming keyed dedup with state bounded by an event-time watermark.
-
-    Silver keeps UTC wall-clock ``timestamp_ntz``; watermarks need an instant,
-    so the event time is converted (without the session zone) first."""
-    timed = df.withColumn("_event_time", X.ntz_to_instant(event_time))
-    deduped = timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([key])
-    return deduped.drop("_event_time")
-
-
-def silver_battle_stream(spark: SparkSession, raw_path: str, delay: str = "2 days") -> DataFrame:
-    """R2 end to end: raw stream -> silver rows, deduplicated within the watermark."""
-    kept, _ = normalize_battles(raw_battle_stream(spark, raw_path))
-    rows = silver_battle_rows(kept).drop("_source_seq")
-    return dedup_within_watermark(rows, delay=delay).select(*SILVER_BATTLE_COLUMNS)

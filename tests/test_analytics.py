@@ -182,11 +182,9 @@ def test_gold_from_state_equals_direct_gold(spark):
     prof = profiles(spark, [("P1", 100, 1, 1, 2, T0), ("P1", 90, 1, 2, 3, T0 + dt.timedelta(days=2)),
                             ("P2", 50, 0, 0, 0, T0)])
     direct = G.gold_tables(df, prof)
-    # state built in two halves and merged, as an incremental run does
-    first, second = df.where("battle_id < 'id150'"), df.where("battle_id >= 'id150'")
-    s1 = {**GS.battle_state(first), "player": GS.profile_state(prof.where("snapshot_at = timestamp_ntz'2024-01-01 12:00:00'"))}
-    s2 = {**GS.battle_state(second), "player": GS.profile_state(prof)}
-    merged = {n: GS.merge_state(n, s1[n], s2[n]) for n in GS.STATE_NAMES}
+    # partials by day, merged over the days
+    partials = {**GS.battle_state(df), "player": GS.profile_state(prof)}
+    merged = {n: GS.over_days(n, partials[n]) for n in GS.STATE_NAMES}
     for name, got in GS.gold_from_state(merged).items():
         want = direct[name]
         cols = sorted(want.columns)

@@ -33,10 +33,11 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    # the optional text operators are tested on their own; SQL can't express most of them
+    assert set(E.registry.all_queries()) <= set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     spark_rows = rows_of(sdf.toArrow().to_pylist())

@@ -6,11 +6,12 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from crownlake.plans.pipeline import Lake, run_pipeline
 from crownlake.sources import raw as R
-from crownlake.streaming.ingest import run_available_now, silver_battle_stream
+from crownlake.streaming.ingest import run_available_now
 
 from conftest import SF_SMALL
 
@@ -108,18 +109,6 @@ def test_available_now_reads_new_files_not_rewritten_ones(spark, tmp_dir):
     assert spark.read.parquet(silver).count() == 3
 
 
-def test_watermark_dedup_stream(spark, tmp_dir):
-    raw = os.path.join(tmp_dir, "raw")
-    day = os.path.join(raw, "ingestion_date=2024-01-01")
-    write_items(os.path.join(day, "a.json"), [item("P", "20240101T100000.000Z"), item("P", "20240101T100000.000Z"),
-                                              item("Q", "20240101T100000.000Z")])
-    q = (silver_battle_stream(spark, raw).writeStream.format("memory").queryName("wm_dedup")
-         .option("checkpointLocation", os.path.join(tmp_dir, "ck")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = sorted(r.player_tag for r in spark.table("wm_dedup").collect())
-    assert got == ["P", "Q"]
-
-
 def test_reader_accepts_json_lines_and_arrays(spark, tmp_dir):
     write_items(os.path.join(tmp_dir, "T1", "2024-02-02", "data.json"), [item(None, "20240202T000000.000Z")])
     os.makedirs(os.path.join(tmp_dir, "T2", "2024-02-03"))
@@ -143,53 +132,40 @@ def test_command_line_pipeline_and_stream(spark, tmp_dir, capsys):
     assert spark.read.parquet(lake.silver_battles).count() == before
 
 
-def test_run_stopped_between_state_and_silver_is_finished_next_time(spark, tmp_dir):
+@pytest.mark.parametrize("writes", [1, 4, 7, 12, 15])
+def test_run_stopped_after_any_write_can_be_repeated(spark, tmp_dir, monkeypatch, writes):
     from crownlake.operators.gold import GOLD_TABLE_NAMES
-    from crownlake.plans import gold_state as GS
-    from crownlake.plans.pipeline import bronze_to_silver
     from crownlake.sources import sinks as K
 
-    items = R.raw_battle_items(spark, SF_SMALL)
-    profiles = R.raw_profiles(spark, SF_SMALL)
-    days = landed_days(items)
-    first, second = days[:-1], days[-1:]
-    lake = Lake(os.path.join(tmp_dir, "crash"))
-    R.land_json(items.where(F.col("ingestion_date").isin(first)), lake.raw_battles)
-    R.land_json(profiles.where(F.col("ingestion_date").isin(first)), lake.raw_profiles)
-    run_pipeline(spark, lake.root, database="t_crash")
-    R.land_json(items.where(F.col("ingestion_date").isin(second)), lake.raw_battles, mode="append")
-    R.land_json(profiles.where(F.col("ingestion_date").isin(second)), lake.raw_profiles, mode="append")
-
-    # A run that stages its delta and writes its state version, then stops.
-    from crownlake.plans.pipeline import raw_to_bronze, _day_paths, _read_many, kept_battles
-    raw_to_bronze(spark, lake, second)
-    bb = kept_battles(_read_many(spark, _day_paths(lake.bronze_battles, second),
-                                 lambda s, p: R.read_bronze(s, p, R.BRONZE_BATTLES_LANDED)))
-    bp = _read_many(spark, _day_paths(lake.bronze_profiles, second),
-                    lambda s, p: R.read_bronze(s, p, R.BRONZE_PROFILE_LANDED))
-    import time
-    run_id = time.time_ns()
-    _, delta = bronze_to_silver(spark, lake, bb, bp, incremental=True, run_id=run_id)
-    fresh = {**GS.battle_state(spark.read.parquet(delta["battles"])),
-             "player": GS.profile_state(spark.read.parquet(delta["profiles"]))}
-    for n in GS.STATE_NAMES:
-        merged = GS.merge_state(n, spark.read.parquet(GS.latest_version(spark, lake.state(n))), fresh[n])
-        K.write_parquet(merged, f"{lake.state(n)}/v={run_id}")
-    before = spark.read.parquet(lake.silver_battles).count()
-
-    # The next incremental run (nothing new landed) finishes the stopped one.
-    run_pipeline(spark, lake.root, database="t_crash", days=second, incremental=True)
-    assert spark.read.parquet(lake.silver_battles).count() > before
-
-    full = Lake(os.path.join(tmp_dir, "full"))
-    R.land_json(items, full.raw_battles)
-    R.land_json(profiles, full.raw_profiles)
-    run_pipeline(spark, full.root, database="t_crash_full")
-    assert as_set(spark.read.parquet(lake.silver_battles)) == as_set(spark.read.parquet(full.silver_battles))
-    for name in GOLD_TABLE_NAMES:
-        a, b = spark.read.parquet(lake.gold(name)), spark.read.parquet(full.gold(name))
-        cols = sorted(b.columns)
-        assert as_set(a, *cols) == as_set(b, *cols), name
+    lake = Lake(os.path.join(tmp_dir, "stopped"))
+    day = {n: os.path.join(lake.raw_battles, f"ingestion_date=2024-01-0{n}") for n in (1, 2)}
+    profile = {"tag": "#P", "name": "p", "expLevel": 1, "trophies": 1, "bestTrophies": 1, "wins": 1, "losses": 0,
+               "battleCount": 1, "player_tag": "P"}
+    write_items(os.path.join(day[1], "a.json"), [item("P", "20240101T100000.000Z"), item("P", "20240101T110000.000Z")])
+    write_items(os.path.join(lake.raw_profiles, "ingestion_date=2024-01-01", "a.json"), [profile])
+    run_pipeline(spark, lake.root, database="t_stopped")
+    # the second day has battles only, one of them seen before
+    write_items(os.path.join(day[2], "a.json"), [item("P", "20240101T110000.000Z"), item("P", "20240102T110000.000Z")])
+    write, left = K.write_parquet, [writes]
+
+    def failing(*args, **kwargs):
+        out = write(*args, **kwargs)
+        left[0] -= 1
+        if left[0] == 0:
+            raise RuntimeError("stopped")
+        return out
+
+    second = [dt.date(2024, 1, 2)]
+    with monkeypatch.context() as m:
+        m.setattr(K, "write_parquet", failing)
+        with pytest.raises(RuntimeError):
+            run_pipeline(spark, lake.root, database="t_stopped", days=second, incremental=True)
+    run_pipeline(spark, lake.root, database="t_stopped", days=second, incremental=True)
+    got = {n: as_set(spark.read.parquet(lake.gold(n))) for n in GOLD_TABLE_NAMES}
+    assert spark.read.parquet(lake.gold("dim_deck")).selectExpr("sum(total_battles)").first()[0] == 3
+    run_pipeline(spark, lake.root, database="t_stopped")
+    for name, rows in got.items():
+        assert rows == as_set(spark.read.parquet(lake.gold(name))), name
 
 
 def test_rejects_land_in_bronze_with_reason_in_one_pass(spark, tmp_dir):
@@ -234,21 +210,6 @@ def test_stream_into_lake_keeps_gold_state_complete(spark, tmp_dir):
         assert as_set(a, *cols) == as_set(b, *cols), name
 
 
-def test_state_versions_are_pruned(spark, tmp_dir):
-    from crownlake.plans import gold_state as GS
-    from crownlake.sources import sinks as K
-
-    base = os.path.join(tmp_dir, "state")
-    df = spark.createDataFrame([(1,)], "x int")
-    for vid in (10, 20, 30, 40):
-        K.write_parquet(df, f"{base}/v={vid}")
-    os.makedirs(f"{base}/v=5")    # stopped run, older than anything kept
-    os.makedirs(f"{base}/v=50")   # a run still writing
-    GS.prune_versions(spark, base, keep=2)
-    assert sorted(os.listdir(base)) == ["v=30", "v=40", "v=50"]
-    assert GS.latest_version(spark, base).endswith("v=40")
-
-
 def test_command_line_auto_size(spark, tmp_dir):
     from crownlake.__main__ import main
 
