@@ -36,7 +36,7 @@ FILTERS = 16
 WINDOW = 256
 STRIDE = WINDOW - max(WIDTHS) + 1
 TRAIN_ROWS = 2400
-WINDOWS_PER_ROW = 3
+WINDOWS_PER_ROW = 2
 CHUNK = 64  # windows at a time: their activations stay within the cache
 PAD = 0
 UNDETERMINED = "und"
@@ -81,23 +81,27 @@ def window_bytes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> n
     return np.where(np.arange(WINDOW) < lengths[:, None], rows, PAD) if (lengths < WINDOW).any() else rows
 
 
-def pooled(rows: np.ndarray, first: np.ndarray, second: np.ndarray, argmax: bool = False):
-    """Largest value of each filter over each window (before bias), and optionally where it is."""
+def pooled(rows: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Largest value of each filter over each window (before bias), from the tables of ``Model.pairs``."""
     codes = rows[:, :-1].astype(np.int32) * 256 + rows[:, 1:]
     a = first[codes[:, :STRIDE]]
     a[:, :, FILTERS:] += second[codes[:, 2 : STRIDE + 2]]
-    if argmax:
-        where = a.argmax(axis=1)
-        return np.take_along_axis(a, where[:, None, :], axis=1)[:, 0], where
     return a.max(axis=1)
 
 
+def strongest(rows: np.ndarray, filters: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """As ``pooled``, from the filters themselves, with the place of each largest value."""
+    a = np.concatenate([sum(w[j][rows[:, j : j + STRIDE]] for j in range(len(w))) for w in filters], axis=2)
+    where = a.argmax(axis=1)
+    return np.take_along_axis(a, where[:, None, :], axis=1)[:, 0], where
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(rows: np.ndarray, labels: np.ndarray, languages: list[str], epochs: int = 12, rate: float = 0.01, seed: int = 3) -> Model:
+def train(rows: np.ndarray, labels: np.ndarray, languages: list[str], epochs: int = 8, rate: float = 0.01, seed: int = 3) -> Model:
     """Fit the network to windows with Adam on the cross-entropy."""
     rng = np.random.default_rng(seed)
     k, units = len(languages), FILTERS * len(WIDTHS)
@@ -109,7 +113,7 @@ def train(rows: np.ndarray, labels: np.ndarray, languages: list[str], epochs: in
     for _ in range(epochs):
         for at in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // CHUNK)):
             x, y = rows[at], labels[at]
-            top, where = pooled(x, *model.pairs(), argmax=True)
+            top, where = strongest(x, model.filters)
             hidden = np.maximum(top + model.bias, 0)
             delta = softmax(hidden @ model.dense + model.dense_bias)
             delta[np.arange(len(y)), y] -= 1
