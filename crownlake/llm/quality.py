@@ -127,7 +127,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     rows, counts = sample(docs, labels, train_rows)
     if rows.empty:
         return None
-    described = features(pa.array(rows["text"].tolist(), pa.string()))
+    sampled = pa.array(rows["text"].tolist(), pa.string())
+    described = np.concatenate([features(sampled.slice(at, BLOCK)) for at in range(0, len(sampled), BLOCK)])
     centre = described.mean(axis=0)
     # Axes of the latent space: leading eigenvectors of the sample's scatter.
     values, axes = np.linalg.eigh((described - centre).T @ (described - centre))
