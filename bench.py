@@ -94,11 +94,8 @@ def main() -> None:
     # Literal / alternative forms, for comparison only (not in the total).
     alternatives = {
         "card_leaderboard_distinct": A.card_leaderboard(silver, unique_battles=False),
-        "streak_leaderboard_split": A.streak_leaderboard(fact, method="split"),
-        "streak_leaderboard_window": A.streak_leaderboard(fact, method="window"),
-        "streak_leaderboard_literal": A.streak_leaderboard(fact, method="literal"),
-        "dim_player_window": G.dim_player(profiles, method="window"),
-        "deck_with_cards_fanout": A.deck_with_cards_fanout(fact, silver),
+        "streak_leaderboard_window": A.streak_leaderboard(fact, units=()),
+        "dim_player_window": registry.dim_player_by_time(profiles),
     }
     baselines = {f"stored_{name}": run(df) for name, df in alternatives.items()}
 

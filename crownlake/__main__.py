@@ -28,8 +28,9 @@ def main(argv: list[str] | None = None) -> int:
                    help="landing day (YYYY-MM-DD); repeatable")
     p.add_argument("--run-date", type=dt.date.fromisoformat, default=None,
                    help="stamp every row with this ingestion date (the literal run-clock behaviour)")
-    p.add_argument("--auto-size", action="store_true",
-                   help="size shuffle partitions and scan splits from the bytes under the raw folder")
+    p.add_argument("--auto-size", action=argparse.BooleanOptionalAction, default=True,
+                   help="size shuffle partitions and scan splits from the bytes under the raw folder (default)")
+    p.add_argument("--multi-line", action="store_true", help="raw files each hold one JSON array of records")
     s = sub.add_parser("stream", help="one availableNow run of the raw battle stream into silver and the gold state")
     s.add_argument("--root", required=True)
     args = parser.parse_args(argv)
@@ -43,7 +44,8 @@ def main(argv: list[str] | None = None) -> int:
         size_for_input(spark, path_bytes(spark, lake.raw_battles) + path_bytes(spark, lake.raw_profiles))
     if args.command == "pipeline":
         audit = run_pipeline(spark, args.root, database=args.database, days=args.day or None,
-                             incremental=args.incremental, run_date=args.run_date)
+                             incremental=args.incremental, run_date=args.run_date,
+                             multi_line=args.multi_line)
         for row in audit.collect():
             print(f"{row.stage}\t{row.rows}")
     else:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crownlake.functions import columns as X
-from crownlake.operators.streaks import streak_runs, streak_summary
+from crownlake.operators.streaks import DEFAULT_UNITS, streak_summary
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int | None) -> DataFrame:
@@ -115,18 +115,16 @@ def top_cards(battles: DataFrame, k: int | None = 10, unique_battles: bool = Tru
 
 # --- C15, C24 ----------------------------------------------------------------
 
-def streak_leaderboard(fact: DataFrame, k: int | None = 20, method: str = "auto", **split) -> DataFrame:
+def streak_leaderboard(fact: DataFrame, k: int | None = 20, units: Sequence[str] = DEFAULT_UNITS) -> DataFrame:
     """Longest streak and number of streaks per player and result, top k."""
-    summary = streak_summary(streak_runs(fact, method=method, **split))
-    out = summary.select("player_tag", "streak_type", "longest_streak", "num_streaks")
+    out = streak_summary(fact, units=units).select("player_tag", "streak_type", "longest_streak", "num_streaks")
     return top_k(out, [F.col("longest_streak").desc_nulls_last(), F.col("player_tag").asc_nulls_last(),
                        F.col("streak_type").asc_nulls_last()], k)
 
 
-def longest_streaks(fact: DataFrame, method: str = "auto", **split) -> DataFrame:
+def longest_streaks(fact: DataFrame, units: Sequence[str] = DEFAULT_UNITS) -> DataFrame:
     """Longest streak per result over all players."""
-    runs = streak_runs(fact, method=method, **split)
-    out = runs.groupBy(F.col("result").alias("streak_type")).agg(F.max("run_length").alias("longest_streak"))
+    out = streak_summary(fact, units=units).groupBy("streak_type").agg(F.max("longest_streak").alias("longest_streak"))
     return out.orderBy(F.col("longest_streak").desc_nulls_last(), F.col("streak_type").asc_nulls_last())
 
 
@@ -230,7 +228,7 @@ def deck_with_cards(
 ) -> DataFrame:
     """Deck win rate with its card list, top k.
 
-    The original joins ``fact`` to ``silver`` on ``deck_hash`` — many to many,
+    The saved query joins ``fact`` to ``silver`` on ``deck_hash`` — many to many,
     so a deck with n battles becomes n*n rows and ``total_battles``/``wins`` are
     inflated (``literal=True`` reproduces exactly that). Either way the plan
     aggregates each side to one row per deck first (eager aggregation) and then
@@ -259,19 +257,3 @@ def deck_with_cards(
         "deck_cards",
     ).where(F.col("total_battles") >= min_battles)
     return top_k(out, [F.col("win_rate_pct").desc_nulls_last(), F.col("deck_hash").asc_nulls_last()], k)
-
-
-def deck_with_cards_fanout(fact: DataFrame, battles: DataFrame, min_battles: int = 3,
-                           k: int | None = 5) -> DataFrame:
-    """C22 exactly as written (join first, aggregate after). For comparison only:
-    the join output grows with the square of the battles per deck."""
-    j = fact.alias("fb").join(battles.alias("bs"), F.col("fb.deck_hash") == F.col("bs.deck_hash"), "inner")
-    g = j.groupBy(F.col("fb.deck_hash").alias("deck_hash")).agg(
-        F.count(F.lit(1)).alias("total_battles"),
-        X.count_if(F.col("fb.result") == X.RESULT_WIN).alias("wins"),
-        F.round(F.avg("fb.player_elixir_avg"), 2).alias("avg_elixir"),
-        F.max("bs.player_deck").alias("deck_cards"),
-    ).where(F.col("total_battles") >= min_battles)
-    out = g.select("deck_hash", "total_battles", "wins", X.pct("wins", "total_battles").alias("win_rate_pct"),
-                   "avg_elixir", "deck_cards")
-    return top_k(out, [F.col("win_rate_pct").desc_nulls_last(), F.col("deck_hash").asc_nulls_last()], k)

@@ -42,14 +42,12 @@ def coerce_result(
     order_by: Sequence[str] = (),
     ascending: bool = True,
 ) -> DataFrame:
-    """Coerce the named text columns; drop rows where any coerced value is NULL."""
+    """Coerce the named text columns; drop rows where any value is NULL, coerced or not."""
     out = df.select(*[
         COERCERS[types[c]](c).alias(c) if c in types else F.col(c) for c in df.columns
     ])
     if drop_null:
-        checked = [c for c, kind in types.items() if kind in ("number", "date")]
-        if checked:
-            out = out.dropna(subset=checked)
+        out = out.dropna()
     if order_by:
         out = out.orderBy(*[F.col(c).asc_nulls_last() if ascending else F.col(c).desc_nulls_last()
                             for c in order_by])

@@ -16,23 +16,13 @@ from crownlake.operators.dedup import keep_last
 from crownlake.schemas import DIM_PLAYER_COLUMNS, FACT_BATTLE_COLUMNS
 
 
-def dim_player(profiles: DataFrame, method: str = "aggregate") -> DataFrame:
+def dim_player(profiles: DataFrame) -> DataFrame:
     """The latest snapshot of each player.
 
-    ``aggregate`` (default): ``max`` over a struct led by ``snapshot_at`` —
-    partial/final, so a player with a huge history is reduced map-side.
-    ``window``: ``row_number() over (partition by player order by snapshot_at
-    desc) = 1``, the original form (Catalyst adds a partial group limit before
-    the shuffle, but the final window still holds one player per task group).
+    ``max`` over a struct led by ``snapshot_at``: partial and final, so a
+    player with a huge history is reduced map-side.
     """
-    cols = profiles.select(*DIM_PLAYER_COLUMNS)
-    if method == "window":
-        w = Window.partitionBy("player_tag").orderBy(F.col("snapshot_at").desc())
-        ranked = cols.withColumn("rn", F.row_number().over(w))
-        return ranked.where(F.col("rn") == 1).drop("rn").select(*DIM_PLAYER_COLUMNS)
-    if method != "aggregate":
-        raise ValueError(f"unknown method {method!r}")
-    latest = keep_last(cols, ["player_tag"], ["snapshot_at"])
+    latest = keep_last(profiles.select(*DIM_PLAYER_COLUMNS), ["player_tag"], ["snapshot_at"])
     return latest.select(*DIM_PLAYER_COLUMNS)
 
 
@@ -46,13 +36,6 @@ def dim_card(battles: DataFrame) -> DataFrame:
     return names.where(F.col("card_name").isNotNull()).distinct()
 
 
-def dim_card_union(battles: DataFrame) -> DataFrame:
-    """C6, literal form: two explodes, ``unionByName``, ``distinct``."""
-    a = battles.select(F.explode("player_deck").alias("card_name"))
-    b = battles.select(F.explode("opponent_deck").alias("card_name"))
-    return a.unionByName(b).distinct().where(F.col("card_name").isNotNull())
-
-
 def deck_stats(battles: DataFrame, keys: list[str]) -> DataFrame:
     return battles.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_battles"),
@@ -122,6 +105,17 @@ def trophy_evolution(battles: DataFrame, ordered: bool = False) -> DataFrame:
     return out.orderBy("player_tag", "week") if ordered else out
 
 
+def trophy_steps(evolution: DataFrame) -> DataFrame:
+    """Each player's weeks numbered in order; ``steady``: no week before, or the same trophies as then.
+
+    The window holds the weeks of one player, already aggregated: a bounded number.
+    """
+    weeks = Window.partitionBy("player_tag").orderBy("week")
+    before = F.lag("trophies").over(weeks)
+    return evolution.select("player_tag", "week", "trophies", F.row_number().over(weeks).alias("week_no"),
+                            (before.isNull() | (before == F.col("trophies"))).alias("steady"))
+
+
 GOLD_TABLE_NAMES = (
     "dim_player", "dim_card", "dim_deck", "fact_battles", "metrics_win_rate_by_card",
     "metrics_win_rate_by_deck", "metrics_trophy_evolution", "metrics_top_cards",

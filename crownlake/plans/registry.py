@@ -7,6 +7,7 @@ job on it. In production silver and gold are materialised once by
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,9 @@ from pyspark.sql import functions as F
 from crownlake.functions import columns as X
 from crownlake.operators import analytics as A
 from crownlake.operators import gold as G
-from crownlake.operators.bronze import normalize_battles, normalize_profiles
+from crownlake.operators.bronze import normalize_battles, normalize_battles_all, normalize_profiles
 from crownlake.operators.coerce import coerce_result, stringify
+from crownlake.operators.silver import silver_battles, silver_profiles
 from crownlake.schemas import BRONZE_BATTLES, BRONZE_PROFILE
 from crownlake.session import scratch_path
 from crownlake.sources import fixtures as FX
@@ -26,6 +28,10 @@ from crownlake.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Consecutive keys whose records share one multi-line document: bounds a document, whatever the table.
+DOCUMENT_KEYS = 2000
+RUN_CLOCK = dt.datetime(2030, 1, 1)
+
 
 def _battles(spark: SparkSession, sf: str) -> DataFrame:
     return FX.battles(spark, sf)
@@ -54,6 +60,12 @@ def q_deck_with_cards_repaired(spark: SparkSession, sf: str) -> DataFrame:
     return A.deck_with_cards(G.fact_battles(b), b, literal=False)
 
 
+def dim_player_by_time(profiles: DataFrame) -> DataFrame:
+    """C5 from the newest time of each player, joined back; equal newest times leave one row."""
+    newest = profiles.groupBy("player_tag").agg(F.max("snapshot_at").alias("snapshot_at"))
+    return G.dim_player(profiles.join(newest, ["player_tag", "snapshot_at"], "left_semi"))
+
+
 def q_parse_deck(spark: SparkSession, sf: str) -> DataFrame:
     """decks rendered as result text and parsed back."""
     b = _battles(spark, sf).select("battle_id", X.render_deck("player_deck").alias("deck_text"))
@@ -89,6 +101,56 @@ def q_bronze_profiles(spark: SparkSession, sf: str) -> DataFrame:
     return normalize_profiles(R.read_raw_profiles(spark, path)).select(*BRONZE_PROFILE.names, "ingestion_date")
 
 
+def q_battle_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Items that lack their time, team or opponent, by reject reason (NULL: kept)."""
+    items = R.raw_battle_items(spark, sf, keys=("o_orderkey",)).join(
+        read_table(spark, sf, "orders", "o_orderkey", "o_orderstatus"), "o_orderkey")
+    none = F.array()
+    broken = items.withColumns({
+        "battleTime": F.when(F.col("type") != "PvP", F.col("battleTime")),
+        "team": F.when(F.col("type") == "Ladder", none).otherwise(F.col("team")),
+        "opponent": F.when(F.col("o_orderstatus") == "P", none).otherwise(F.col("opponent")),
+    })
+    reasons = normalize_battles_all(broken).groupBy("reject_reason")
+    return reasons.agg(F.count(F.lit(1)).alias("items"))
+
+
+def q_coerce_bad_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Text with bad dates, bad numbers and missing values; rows that lack any value go."""
+    o = read_table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority", "o_orderstatus")
+    urgent, high = F.col("o_orderpriority") == "1-URGENT", F.col("o_orderpriority") == "2-HIGH"
+    text = o.select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.when(urgent, "n/a").otherwise(F.col("o_orderdate").cast("date").cast("string")).alias("day"),
+        F.when(F.col("o_orderstatus") == "P", "bad").otherwise(F.col("o_totalprice").cast("string")).alias("price"),
+        F.when(~high, F.col("o_orderpriority")).alias("priority"),
+    )
+    return coerce_result(text, {"day": "date", "price": "number"}, order_by=["day", "id"])
+
+
+def q_battle_type_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """totals with thousands separators and rates as percent text."""
+    g = _battles(spark, sf).groupBy("battle_type").agg(
+        F.sum("player_trophies").alias("total"), F.count(F.lit(1)).alias("n"), X.count_if(X.is_win()).alias("w"))
+    return g.select("battle_type", X.thousands("total").alias("trophies_text"),
+                    X.percent_text(X.pct("w", "n")).alias("win_text"))
+
+
+def q_bronze_multiline_battles(spark: SparkSession, sf: str) -> DataFrame:
+    """Flat bronze in files of one indented array each, read and built into silver."""
+    path = scratch_path(spark, "multiline-battles")
+    R.land_json_documents(FX.bronze_battles(spark, sf), path, F.floor(F.col("source_seq") / DOCUMENT_KEYS))
+    return silver_battles(R.read_bronze(spark, path, R.BRONZE_BATTLES_LANDED, multi_line=True, pattern="*.txt"))
+
+
+def q_bronze_multiline_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """As above, of profiles."""
+    path = scratch_path(spark, "multiline-profiles")
+    number = F.regexp_extract("name", r"(\d+)$", 1).cast("bigint")
+    R.land_json_documents(FX.bronze_profiles(spark, sf), path, F.floor(number / DOCUMENT_KEYS))
+    return silver_profiles(R.read_bronze(spark, path, R.BRONZE_PROFILE_LANDED, multi_line=True, pattern="*.txt"))
+
+
 def q_stream_ingest_available_now(spark: SparkSession, sf: str) -> DataFrame:
     """Two landing waves, each picked up by an availableNow stream run."""
     from crownlake.streaming.ingest import run_available_now
@@ -179,9 +241,12 @@ def core_queries() -> dict[str, Query]:
         "silver_battles": _battles,
         "silver_profiles": _profiles,
         "clean_tag": q_clean_tag,
+        # the run's clock instead of the landing's
+        "silver_battles_run_date": lambda s, sf: silver_battles(FX.bronze_battles(s, sf), run_date=RUN_CLOCK.date()),
+        "silver_profiles_run_time": lambda s, sf: silver_profiles(FX.bronze_profiles(s, sf), run_ts=RUN_CLOCK),
         # gold (C5-C12)
         "dim_player": lambda s, sf: G.dim_player(_profiles(s, sf)),
-        "dim_player_window": lambda s, sf: G.dim_player(_profiles(s, sf), method="window"),
+        "dim_player_window": lambda s, sf: dim_player_by_time(_profiles(s, sf)),
         "dim_card": lambda s, sf: G.dim_card(_battles(s, sf)),
         "dim_deck": lambda s, sf: G.dim_deck(_battles(s, sf)),
         "fact_battles": _fact,
@@ -190,6 +255,8 @@ def core_queries() -> dict[str, Query]:
         "win_rate_by_deck": lambda s, sf: G.win_rate_by_deck(_battles(s, sf)),
         # threshold 1: the values the original threshold (5) filters out at small scale
         "win_rate_by_deck_any": lambda s, sf: G.win_rate_by_deck(_battles(s, sf), min_battles=1),
+        "trophy_steps": lambda s, sf: G.trophy_steps(G.trophy_evolution(_battles(s, sf), ordered=True)),
+        "win_rate_by_deck_two": lambda s, sf: G.win_rate_by_deck(_battles(s, sf), min_battles=2),
         "trophy_evolution": lambda s, sf: G.trophy_evolution(_battles(s, sf)),
         # saved analytics
         "deck_leaderboard": lambda s, sf: A.deck_leaderboard(_fact(s, sf)),
@@ -206,10 +273,10 @@ def core_queries() -> dict[str, Query]:
         "deck_with_cards_repaired": q_deck_with_cards_repaired,
         "elixir_by_outcome_simple": lambda s, sf: A.elixir_by_outcome_simple(_battles(s, sf)),
         "longest_streaks": lambda s, sf: A.longest_streaks(_fact(s, sf)),
-        # the same two with every player split by hour (the hot-player plan)
-        "streak_leaderboard_split": lambda s, sf: A.streak_leaderboard(_fact(s, sf), method="split"),
-        "longest_streaks_split": lambda s, sf: A.longest_streaks(_fact(s, sf), method="split"),
-        "streak_leaderboard_literal": lambda s, sf: A.streak_leaderboard(_fact(s, sf), method="literal"),
+        # the same two with coarser buckets, and with one window per player
+        "streak_leaderboard_split": lambda s, sf: A.streak_leaderboard(_fact(s, sf), units=("day", "month")),
+        "longest_streaks_split": lambda s, sf: A.longest_streaks(_fact(s, sf), units=("day", "month")),
+        "streak_leaderboard_literal": lambda s, sf: A.streak_leaderboard(_fact(s, sf), units=()),
         "outcome_split": lambda s, sf: A.outcome_split(_profiles(s, sf)),
     }
 
@@ -218,6 +285,11 @@ def io_queries() -> dict[str, Query]:
     return {
         "parse_deck": q_parse_deck,
         "coerce_result": q_coerce_result,
+        "coerce_bad_text": q_coerce_bad_text,
+        "battle_type_texts": q_battle_type_texts,
+        "battle_rejects": q_battle_rejects,
+        "bronze_multiline_battles": q_bronze_multiline_battles,
+        "bronze_multiline_profiles": q_bronze_multiline_profiles,
         "bronze_battles": q_bronze_battles,
         "bronze_battles_text": q_bronze_battles_text,
         "bronze_profiles": q_bronze_profiles,

@@ -4,7 +4,7 @@ The jobs need battle logs and profile snapshots; the driver ships orders. The
 mapping below (orders -> battles, customer-years -> profile snapshots) gives
 data whose size grows with the tables, so every job runs over whole tables.
 
-Battle record per order that has line items:
+Battle record per order (without line items: empty decks, no elixir, no opponent tag, no crowns):
 
 * player_tag      cleaned ``c_name`` of the ordering customer
 * battle_time     ``o_orderdate`` rendered as API text
@@ -83,6 +83,18 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def orders_with_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Every order with its lines' values; an order without lines has empty decks and no crowns."""
+    joined = orders.join(lines, "o_orderkey", "left")
+    empty = F.array().cast("array<string>")
+    return joined.withColumns({
+        "player_deck": F.coalesce("player_deck", empty),
+        "opponent_deck": F.coalesce("opponent_deck", empty),
+        "crowns_player": F.coalesce("crowns_player", F.lit(0)),
+        "crowns_opponent": F.coalesce("crowns_opponent", F.lit(0)),
+    })
+
+
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
 
@@ -91,7 +103,7 @@ def bronze_battles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat bronze battle records (as the extractor lands them) plus provenance."""
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
                         "o_totalprice", "o_orderdate", "o_orderpriority")
-    per_order = orders.join(order_lines(spark, sf_dir), "o_orderkey", "inner")
+    per_order = orders_with_lines(orders, order_lines(spark, sf_dir))
     with_player = per_order.join(_customers(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"), "inner")
     return with_player.select(
         X.render_api_time("o_orderdate").alias("battle_time"),

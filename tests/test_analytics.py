@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+from collections import Counter
 
 from crownlake.functions import columns as X
 from crownlake.operators import analytics as A
@@ -69,14 +70,14 @@ def test_distinct_free_card_stats_equal_literal(spark):
         assert as_set(A.top_cards(df, k=None)) == as_set(A.top_cards(df, k=None, unique_battles=False))
 
 
-def test_eager_aggregation_equals_fanout_join(spark):
+def test_eager_aggregation_counts_pairs_of_battles(spark):
     for seed in (3, 4):
         df = random_battles(spark, seed)
-        fact = G.fact_battles(df)
-        for literal in (True,):
-            eager = as_set(A.deck_with_cards(fact, df, literal=literal, min_battles=1, k=None))
-            fan = as_set(A.deck_with_cards_fanout(fact, df, min_battles=1, k=None))
-            assert eager == fan
+        rows = [r for r in df.collect() if r.deck_hash is not None]
+        pairs = Counter((a.deck_hash, a.result == "win") for a in rows for b in rows if a.deck_hash == b.deck_hash)
+        eager = A.deck_with_cards(G.fact_battles(df), df, literal=True, min_battles=1, k=None).collect()
+        assert {r.deck_hash: (r.total_battles, r.wins) for r in eager} == {
+            h: (pairs[h, True] + pairs[h, False], pairs[h, True]) for h in {r.deck_hash for r in rows}}
 
 
 def test_repaired_deck_counts(spark):
@@ -125,9 +126,10 @@ def test_sunday_and_monday_are_different_weeks(spark):
     assert weeks == [(dt.datetime(2024, 1, 1), 10), (dt.datetime(2024, 1, 8), 20)]
 
 
-def test_dim_card_single_scan_equals_union(spark):
+def test_dim_card_names_of_both_decks(spark):
     df = random_battles(spark, 5)
-    assert as_set(G.dim_card(df)) == as_set(G.dim_card_union(df))
+    names = {c for r in df.collect() for deck in (r.player_deck, r.opponent_deck) for c in deck or [] if c is not None}
+    assert sorted(r.card_name for r in G.dim_card(df).collect()) == sorted(names)
 
 
 def test_win_rate_by_deck_threshold(spark):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import pathlib
 
 import pytest
 from pyspark.errors import PySparkException
@@ -224,3 +225,22 @@ def test_silver_profile_literal_clock_mode(spark, tmp_dir):
     assert got == [dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 11)]
     literal = silver_profiles(bronze, run_ts=dt.datetime(2030, 1, 1))
     assert literal.count() == 1  # one clock per run: one row per player survives
+
+
+FLAT = """[
+  {"battle_time": "20240101T101112.000Z", "battle_type": "PvP", "result": "win", "player_tag": "AB",
+   "player_trophies": 5, "player_deck": ["x", "y"], "opponent_deck": []},
+  {"battle_time": "20240101T111112.000Z", "battle_type": "PvP", "result": "loss", "player_tag": "AB"}
+]"""
+
+
+def test_indented_bronze_document_per_tag_and_day(spark, tmp_dir):
+    folder = pathlib.Path(tmp_dir) / "bronze" / "AB" / "2024-01-01"
+    folder.mkdir(parents=True)
+    (folder / "data.json").write_text(FLAT)
+    base = str(folder.parent.parent)
+    got = silver_battles(R.read_bronze(spark, base, R.BRONZE_BATTLES_LANDED, multi_line=True)).collect()
+    assert sorted((r.player_tag, r.result, r.ingestion_date) for r in got) == [
+        ("AB", "loss", dt.date(2024, 1, 1)), ("AB", "win", dt.date(2024, 1, 1))]
+    with pytest.raises(Exception, match="multi-line"):
+        R.read_bronze(spark, base, R.BRONZE_BATTLES_LANDED).collect()

@@ -63,14 +63,13 @@ def main(argv: list[str]) -> None:
         "trophy_evolution": G.trophy_evolution(silver),
         "deck_leaderboard": A.deck_leaderboard(fact),
         "card_leaderboard": A.card_leaderboard(silver),
-        "streak_leaderboard (auto)": A.streak_leaderboard(fact),
-        "streak_leaderboard (window)": A.streak_leaderboard(fact, method="window"),
+        "streak_leaderboard": A.streak_leaderboard(fact),
+        "streak_leaderboard (one window)": A.streak_leaderboard(fact, units=()),
         "elixir_by_outcome": A.elixir_by_outcome(silver),
         "trophies_by_date": A.trophies_by_date(profiles),
         "latest_profile": A.latest_profile(profiles),
         "top_cards": A.top_cards(silver),
         "deck_with_cards (eager)": A.deck_with_cards(fact, silver),
-        "deck_with_cards (fan-out, literal)": A.deck_with_cards_fanout(fact, silver),
         "outcome_split": A.outcome_split(profiles),
         "coerce_result": coerce_result(stringify(G.card_usage(silver)), {"usage_count": "number"}),
     }
@@ -79,8 +78,7 @@ def main(argv: list[str]) -> None:
         "",
         f"Generated by `tools/plan_report.py` from `{sf}`: final plans after AQE. Catalyst/AQE",
         "choose broadcast joins from measured sizes, so sides that are small here become",
-        "sort-merge joins at scale (the one explicit broadcast is the bounded hot-player set",
-        "of the streak plan). Jobs other than the first two read stored silver.",
+        "sort-merge joins at scale. Jobs other than the first two read stored silver.",
         "",
         "| job | shuffles (exchange keys) | reused | broadcasts | operators | parquet columns read |",
         "|---|---|---|---|---|---|",
