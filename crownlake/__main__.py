@@ -5,9 +5,9 @@
     python -m crownlake stream --root s3a://lake
 
 ``pipeline`` runs raw -> bronze -> silver -> gold and registers the tables
-(prints the row audit). ``stream`` runs one availableNow pass of the battle
-stream over the raw folder into silver and the gold state (checkpoint under
-the lake root).
+(prints the row audit). ``stream`` runs one availableNow pass each of the battle
+and the profile stream over the raw folder into silver and gold (checkpoints and
+rejected battle items under the lake root).
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--auto-size", action=argparse.BooleanOptionalAction, default=True,
                    help="size shuffle partitions and scan splits from the bytes under the raw folder (default)")
     p.add_argument("--multi-line", action="store_true", help="raw files each hold one JSON array of records")
-    s = sub.add_parser("stream", help="one availableNow run of the raw battle stream into silver and the gold state")
+    s = sub.add_parser("stream", help="one availableNow run of the raw streams into silver and gold")
     s.add_argument("--root", required=True)
     args = parser.parse_args(argv)
 
@@ -49,11 +49,15 @@ def main(argv: list[str] | None = None) -> int:
         for row in audit.collect():
             print(f"{row.stage}\t{row.rows}")
     else:
-        from crownlake.streaming.ingest import run_available_now
+        from crownlake.plans.pipeline import path_exists
+        from crownlake.streaming.ingest import BATTLES, PROFILES, run_available_now
 
-        lake = Lake(args.root)
-        run_available_now(spark, lake.raw_battles, lake.silver_battles,
-                          f"{args.root.rstrip('/')}/_checkpoints/battles", lake=lake)
+        lake, base = Lake(args.root), args.root.rstrip("/")
+        feeds = ((BATTLES, lake.raw_battles, lake.silver_battles), (PROFILES, lake.raw_profiles, lake.silver_profiles))
+        for feed, raw, silver in feeds:
+            if path_exists(spark, raw):
+                run_available_now(spark, raw, silver, f"{base}/_checkpoints/{feed.name}", lake=lake, feed=feed,
+                                  rejects_path=f"{base}/bronze/_rejects/{feed.name}")
     return 0
 
 

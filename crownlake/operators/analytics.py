@@ -192,7 +192,13 @@ LATEST_PROFILE_COLUMNS = [
 
 
 def latest_profile(profiles: DataFrame) -> DataFrame:
-    """The newest snapshot (by ingestion date, then snapshot time)."""
+    """The newest snapshot (by ingestion date, then snapshot time).
+
+    The newest date is a scalar subquery on the partition column, so of a stored
+    table only the newest partition's files are read.
+    """
+    newest = profiles.agg(F.max("ingestion_date")).scalar()
+    profiles = profiles.where(F.col("ingestion_date").eqNullSafe(newest))
     order = [F.col("ingestion_date").desc_nulls_last(), F.col("snapshot_at").desc_nulls_last(),
              F.col("player_tag").asc_nulls_last()]
     return profiles.orderBy(*order).limit(1).select(*LATEST_PROFILE_COLUMNS)

@@ -13,6 +13,8 @@ ordering columns and whose remaining fields are all other columns — so:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +40,8 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) ->
     return _survivor(df, keys, order, F.max)
 
 
-def drop_seen(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` whose ``keys`` are not in ``existing`` (an incremental merge).
+def drop_seen(new: DataFrame, existing: DataFrame, keys: Sequence[str], within: str | None = None) -> DataFrame:
+    """Rows of ``new`` whose ``keys`` are not in ``existing`` (an incremental merge); NULL keys equal each other.
 
     ``new`` is one landing (small); ``existing`` is the whole table (large). A
     plain anti-join would shuffle every existing key on each run. Instead the
@@ -47,8 +49,19 @@ def drop_seen(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataF
     side is the build side, so Catalyst/AQE can broadcast it when its measured
     size allows, and the large side is then only scanned and filtered — and
     ``new`` is anti-joined with that (at most ``new``-sized) result.
+
+    ``within``: a column of both that rows with equal keys share, such as the
+    event time. Only the range of it that ``new`` covers is then compared, which
+    costs a pass over ``new``: pass stored rows.
     """
-    keys = list(keys)
-    new_keys = new.select(*keys).distinct()
-    already = existing.select(*keys).join(new_keys, keys, "left_semi")
-    return new.join(already, keys, "left_anti")
+    if within is not None:
+        # As text, so that no driver-side type conversion or time zone is involved.
+        least, most = new.agg(F.min(within).cast("string"), F.max(within).cast("string")).first()
+        kind = existing.schema[within].dataType
+        covered = F.col(within).between(F.lit(least).cast(kind), F.lit(most).cast(kind))
+        existing = existing.where(covered | F.col(within).isNull())
+    other = {k: f"_seen_{k}" for k in keys}
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(o)) for k, o in other.items()])
+    theirs = [F.col(k).alias(o) for k, o in other.items()]
+    already = existing.select(*keys).join(new.select(*theirs).distinct(), same, "left_semi").select(*theirs)
+    return new.join(already, same, "left_anti")

@@ -101,20 +101,34 @@ def q_bronze_profiles(spark: SparkSession, sf: str) -> DataFrame:
     return normalize_profiles(R.read_raw_profiles(spark, path)).select(*BRONZE_PROFILE.names, "ingestion_date")
 
 
-def q_battle_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    """Items that lack their time, team or opponent, by reject reason (NULL: kept)."""
+def _broken_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw battle items, those of some priorities and states without their time, team or opponent."""
     items = R.raw_battle_items(spark, sf, keys=("o_orderkey",)).join(
         read_table(spark, sf, "orders", "o_orderkey", "o_orderstatus"), "o_orderkey")
     none = F.array()
-    broken = items.withColumns({
+    return items.withColumns({
         "battleTime": F.when(F.col("type") != "PvP", F.col("battleTime")),
         "team": F.when(F.col("type") == "Ladder", none).otherwise(F.col("team")),
         "opponent": F.when(F.col("o_orderstatus") == "P", none).otherwise(F.col("opponent")),
-    })
-    reasons = normalize_battles_all(broken).groupBy("reject_reason")
+    }).drop("o_orderkey", "o_orderstatus")
+
+
+def q_battle_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Items that lack their time, team or opponent, by reject reason (NULL: kept)."""
+    reasons = normalize_battles_all(_broken_items(spark, sf)).groupBy("reject_reason")
     return reasons.agg(F.count(F.lit(1)).alias("items"))
 
 
+def q_stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """The same broken items through the stream; what it set aside, by reason."""
+    from crownlake.streaming.ingest import run_available_now
+
+    base = scratch_path(spark, "stream-rejects")
+    R.land_json(_broken_items(spark, sf), f"{base}/raw")
+    run_available_now(spark, f"{base}/raw", f"{base}/silver", f"{base}/checkpoint", rejects_path=f"{base}/rejects")
+    return spark.read.parquet(f"{base}/rejects").groupBy("reject_reason").agg(F.count(F.lit(1)).alias("items"))
+
+
 def q_coerce_bad_text(spark: SparkSession, sf: str) -> DataFrame:
     """Text with bad dates, bad numbers and missing values; rows that lack any value go."""
     o = read_table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority", "o_orderstatus")
@@ -167,6 +181,19 @@ def q_stream_ingest_available_now(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(silver)
 
 
+def q_stream_profiles_available_now(spark: SparkSession, sf: str) -> DataFrame:
+    """Profiles in two landing waves, the second with the first once more, each picked up by an availableNow run."""
+    from crownlake.streaming.ingest import PROFILES, run_available_now
+
+    base = scratch_path(spark, "stream-profiles")
+    raw, silver, ckpt = f"{base}/raw", f"{base}/silver", f"{base}/checkpoint"
+    profiles = R.raw_profiles(spark, sf)
+    for wave in (profiles.where("expLevel < 12"), profiles):
+        R.land_json(wave, raw, mode="append")
+        run_available_now(spark, raw, silver, ckpt, feed=PROFILES)
+    return spark.read.parquet(silver)
+
+
 def q_stream_dedup_late(spark: SparkSession, sf: str) -> DataFrame:
     """R2: the newer half lands and is streamed first, then the older half: no battle is lost or doubled.
 
@@ -295,6 +322,8 @@ def io_queries() -> dict[str, Query]:
         "bronze_profiles": q_bronze_profiles,
         "stream_ingest_available_now": q_stream_ingest_available_now,
         "stream_dedup_late": q_stream_dedup_late,
+        "stream_profiles_available_now": q_stream_profiles_available_now,
+        "stream_rejects": q_stream_rejects,
         "pipeline_incremental": q_pipeline_incremental,
         "parquet_roundtrip_partitioned": q_parquet_roundtrip_partitioned,
         "table_register_repair": q_table_register_repair,

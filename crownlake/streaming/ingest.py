@@ -1,14 +1,16 @@
 """Incremental ingestion with Structured Streaming.
 
-R1 — new landed raw files trigger the silver job. ``ingest_battles`` is a
-file-source stream (explicit schema, ``_metadata`` for landing tag/day) with
-``trigger(availableNow=True)``: each run processes every file landed since the
-last checkpoint, then stops — the scheduled-batch cadence with exactly-once
-file tracking. Each micro-batch is merged into silver by ``foreachBatch``:
-normalise, build silver rows, keep one row per ``battle_id`` (deterministic,
-``keep_first``), drop ids already in silver (``drop_seen``), append. A replayed
-epoch (after a failure between the write and the checkpoint commit) finds its
-ids already present and appends nothing, so the sink is idempotent.
+R1 — new landed raw files trigger the silver jobs of battles and of profiles.
+``ingest`` is a file-source stream (explicit schema, ``_metadata`` for landing
+tag/day) with ``trigger(availableNow=True)``: each run processes every file
+landed since the last checkpoint, then stops — the scheduled-batch cadence with
+exactly-once file tracking. Each micro-batch is merged into silver by
+``foreachBatch``: normalise, build silver rows, keep one row per key
+(deterministic, ``keep_first``), drop keys already in silver (``drop_seen``),
+append. A replayed epoch (after a failure between the write and the checkpoint
+commit) finds its keys already present and appends nothing, so the sink is
+idempotent. Battle items set aside go to ``rejects_path`` with their reason, one
+folder per epoch, which a replay overwrites.
 
 Land each pull under a new file name: the file source tracks *paths*, so a
 file rewritten in place is not read again.
@@ -20,73 +22,88 @@ after newer days is kept (a watermark would drop it).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from crownlake.operators.bronze import normalize_battles
+from crownlake.operators.bronze import normalize_battles, normalize_profiles
 from crownlake.operators.dedup import drop_seen, keep_first
-from crownlake.operators.silver import silver_battle_rows
+from crownlake.operators.silver import silver_battle_rows, silver_profiles
 from crownlake.schemas import SILVER_BATTLE_COLUMNS
 from crownlake.session import scratch_path
 from crownlake.sources import raw as R
 
 
-def raw_battle_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(R.RAW_BATTLE_LANDED)
+@dataclass(frozen=True)
+class Feed:
+    """One kind of landed payload. ``build`` gives the silver rows of a batch and what it sets aside, if anything."""
+
+    name: str
+    schema: T.StructType
+    build: Callable[[DataFrame], tuple[DataFrame, DataFrame | None]]
+    keys: tuple[str, ...]
+    within: str
+
+
+def _battle_rows(batch: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    kept, rejects = normalize_battles(batch)
+    rows = keep_first(silver_battle_rows(kept), ["battle_id"], ["ingestion_date", "_source_seq"])
+    return rows.select(*SILVER_BATTLE_COLUMNS), rejects
+
+
+def _profile_rows(batch: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """A profile that lacks a required field fails the batch, as in the batch job."""
+    return silver_profiles(normalize_profiles(batch)), None
+
+
+BATTLES = Feed("battles", R.RAW_BATTLE_LANDED, _battle_rows, ("battle_id",), "battle_time")
+PROFILES = Feed("profiles", R.RAW_PROFILE_LANDED, _profile_rows, ("player_tag", "snapshot_at"), "snapshot_at")
+
+
+def raw_stream(spark: SparkSession, path: str, feed: Feed = BATTLES, max_files_per_trigger: int | None = None) -> DataFrame:
+    reader = (spark.readStream.schema(feed.schema)
               .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return R.landing_columns(reader.json(path), R.RAW_BATTLE_LANDED)
+    return R.landing_columns(reader.json(path), feed.schema)
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """One micro-batch's rows, written once: the merge reads them more than once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def merge_into_lake(batch: DataFrame, lake) -> None:
-    """Merge one micro-batch into silver *and* the gold tables of a lake.
+def merge_batch(batch: DataFrame, feed: Feed, silver_path: str, lake=None, rejects_path: str | None = None,
+                epoch: int = 0) -> None:
+    """Merge one micro-batch of raw items into the silver table, and into the gold tables of ``lake`` if one is given.
 
-    Same steps as an incremental pipeline run (``silver_to_gold``): partials and
-    fact of the touched days, gold, then silver. A batch without a new battle
-    writes nothing. A lake without partials only gets the silver append (the
-    first full pipeline run computes them).
+    With a lake the steps are those of an incremental pipeline run
+    (``silver_to_gold``): partials and fact of the touched days, gold, then
+    silver. A batch without a new row writes nothing. A lake without partials
+    only gets the silver append (the first full pipeline run computes them).
     """
-    from crownlake.plans.pipeline import silver_to_gold
+    from crownlake.plans.pipeline import path_exists, silver_to_gold
 
     spark = batch.sparkSession
-    if not _path_exists(spark, lake.partial("deck")):
-        merge_into_silver(batch, lake.silver_battles)
-        return
-    kept, _rejects = normalize_battles(batch)
-    rows = silver_battle_rows(kept)
-    fresh = keep_first(rows, ["battle_id"], ["ingestion_date", "_source_seq"]).select(*SILVER_BATTLE_COLUMNS)
-    staged = scratch_path(spark, "fresh-battles")
-    drop_seen(fresh, spark.read.parquet(lake.silver_battles), ["battle_id"]).write.parquet(staged)
-    silver_to_gold(spark, lake, {"battles": spark.read.parquet(staged)})
-
-
-def merge_into_silver(batch: DataFrame, silver_path: str) -> None:
-    """Merge one micro-batch of raw items into the silver battle table."""
-    spark = batch.sparkSession
-    kept, _rejects = normalize_battles(batch)
-    rows = silver_battle_rows(kept)
-    # One micro-batch (bounded by the trigger's file limit) is read twice by
-    # the merge below; keep it rather than re-reading its files.
-    cached = keep_first(rows, ["battle_id"], ["ingestion_date", "_source_seq"]).select(
-        *SILVER_BATTLE_COLUMNS).persist()
-    try:
-        fresh = cached
-        if _path_exists(spark, silver_path):
-            fresh = drop_seen(cached, spark.read.parquet(silver_path), ["battle_id"])
-        fresh.hint("rebalance", "ingestion_date").write.mode("append").partitionBy(
-            "ingestion_date").parquet(silver_path)
-    finally:
-        cached.unpersist()
-
-
-def ingest_battles(
+    rows, rejects = feed.build(batch)
+    if rejects is not None and rejects_path is not None:
+        rejects.write.mode("overwrite").parquet(f"{rejects_path.rstrip('/')}/epoch={epoch}")
+    fresh = _staged(rows, f"batch-{feed.name}")
+    if path_exists(spark, silver_path):
+        stored = spark.read.schema(rows.schema).parquet(silver_path)
+        fresh = drop_seen(fresh, stored, feed.keys, within=feed.within)
+    if lake is not None and path_exists(spark, lake.partial("deck")):
+        silver_to_gold(spark, lake, {feed.name: _staged(fresh, f"fresh-{feed.name}")})
+    else:
+        fresh.hint("rebalance", "ingestion_date").write.mode("append").partitionBy("ingestion_date").parquet(silver_path)
+
+
+def ingest(
     spark: SparkSession,
     raw_path: str,
     silver_path: str,
@@ -95,18 +112,18 @@ def ingest_battles(
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
     lake=None,
+    feed: Feed = BATTLES,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
-    """Start the raw -> silver battle stream (R1). Returns the running query.
+    """Start the raw -> silver stream of one feed (R1). Returns the running query.
 
     With ``lake`` (a ``plans.pipeline.Lake``) each micro-batch also merges into
-    the lake's gold state (``merge_into_lake``)."""
-    stream = raw_battle_stream(spark, raw_path, max_files_per_trigger)
-    if lake is not None:
-        def sink(df, _epoch):
-            merge_into_lake(df, lake)
-    else:
-        def sink(df, _epoch):
-            merge_into_silver(df, silver_path)
+    the lake's gold tables (``merge_batch``)."""
+    stream = raw_stream(spark, raw_path, feed, max_files_per_trigger)
+
+    def sink(df: DataFrame, epoch: int) -> None:
+        merge_batch(df, feed, silver_path, lake, rejects_path, epoch)
+
     writer = stream.writeStream.option("checkpointLocation", checkpoint_path).foreachBatch(sink)
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -116,9 +133,9 @@ def ingest_battles(
 
 
 def run_available_now(spark: SparkSession, raw_path: str, silver_path: str, checkpoint_path: str,
-                      lake=None) -> None:
+                      lake=None, feed: Feed = BATTLES, rejects_path: str | None = None) -> None:
     """One scheduled run: process everything landed since the last run, then stop."""
-    q = ingest_battles(spark, raw_path, silver_path, checkpoint_path, available_now=True, lake=lake)
+    q = ingest(spark, raw_path, silver_path, checkpoint_path, lake=lake, feed=feed, rejects_path=rejects_path)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
+from pyspark.sql import functions as F
+
+from crownlake.operators.analytics import LATEST_PROFILE_COLUMNS, latest_profile
 from crownlake.operators.dedup import drop_seen, keep_first, keep_last
 
 from conftest import rows
@@ -45,3 +51,28 @@ def test_drop_seen_probes_the_large_side_without_shuffling_it(spark):
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     # the (small) new keys are the broadcast side of the semi join
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+
+
+def test_drop_seen_takes_null_keys_as_equal_and_compares_within_the_range(spark):
+    kind = "tag string, at timestamp_ntz"
+    at = [dt.datetime(2024, 1, d, 12, 30, 0, 123456) for d in range(1, 6)]
+    existing = spark.createDataFrame([("a", at[0]), ("a", at[2]), ("a", None), (None, at[3])], kind)
+    new = spark.createDataFrame([("a", at[2]), ("a", None), (None, at[3]), ("b", at[4]), ("b", None)], kind)
+    for within in (None, "at"):
+        assert rows(drop_seen(new, existing, ["tag", "at"], within=within)) == [("b", None), ("b", at[4])]
+    only_null = spark.createDataFrame([("a", None), ("c", None)], kind)
+    assert rows(drop_seen(only_null, existing, ["tag", "at"], within="at")) == [("c", None)]
+    assert rows(drop_seen(new.limit(0), existing, ["tag", "at"], within="at")) == []
+
+
+def test_latest_profile_reads_the_newest_partition_only(spark, tmp_dir):
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    df = spark.createDataFrame(
+        [(f"P{i}", i, dt.datetime(2024, 1, 1), day) for i in range(4) for day in days],
+        "player_tag string, trophies int, snapshot_at timestamp_ntz, ingestion_date date")
+    other = [c for c in LATEST_PROFILE_COLUMNS if c not in df.columns]
+    df.select("*", *[F.lit(None).cast("int").alias(c) for c in other]).write.partitionBy("ingestion_date").parquet(f"{tmp_dir}/p")
+    out = latest_profile(spark.read.parquet(f"{tmp_dir}/p"))
+    assert [(r.player_tag, r.ingestion_date) for r in out.collect()] == [("P0", days[-1])]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*ingestion_date[^\]]*Subquery", plan)
