@@ -66,8 +66,11 @@ def main() -> None:
     for name, fn in registry.core_queries().items():
         times[name] = run(fn(spark, sf_dir))
     # Queries that write and stream do so while they build their result: timed from the call on.
+    # Two whole-pipeline queries are left to ``pipeline_build`` and ``pipeline`` below.
     io = {}
     for name, fn in registry.io_queries().items():
+        if name in ("row_audit", "pipeline_incremental"):
+            continue
         t0 = time.perf_counter()
         run(fn(spark, sf_dir))
         io[name] = round(time.perf_counter() - t0, 3)
