@@ -3,7 +3,9 @@
 A source's weight is its token share to a power, normalised. The exponent is
 bisected to meet a target entropy, and raised again if a source would be
 repeated more often than a limit allows; each pass over the source totals
-settles four bits of it. A source's quota is its weight times the budget.
+settles four bits of it. A source's quota is its weight times the budget. The
+budget is a share of all tokens, or the least one at which every source's quota
+is at least its own tokens: then no document goes, and smaller sources repeat.
 
 Quotas are realised by block permutations. A document's hash gives its block,
 its sub-block and its place there. All documents of a source are taken as often
@@ -15,8 +17,8 @@ ordered one by one, so a source with a third of all rows is never in one task.
 What decides is a row per source, joined to the documents.
 
 Defined cases: tokens are runs without white space; null text has none. Null is
-a source of its own. A source without tokens has weight and copies 0. Rows that
-repeat id and source are taken or left together. One source alone has weight 1.
+a source of its own. A source without tokens has weight and copies 0, or copies
+1 under the least budget. Rows that repeat id and source are taken or left together. One source alone has weight 1.
 An empty table gives an empty result. ``target`` outside what exponents from 0
 to ``MOST`` can reach gives the nearest of both. Other columns do not matter.
 """
@@ -57,19 +59,23 @@ def source_totals(rows: DataFrame) -> DataFrame:
     return stored(rows.groupBy("source").agg(F.sum("tokens").alias("total"), F.count(F.lit(1)).alias("documents")), "mix-sources")
 
 
-def figures(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float]]:
-    """(entropy, most repeats per budget token) of the weights at each exponent, in one pass over (share, total)."""
+def figures(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float, float]]:
+    """(entropy, most repeats per budget token, least whole budget) of the weights at each exponent, in one pass over (share, total)."""
     log = F.log("share")
     columns = []
     for i, a in enumerate(exponents):
         power = F.exp(log * a)
         columns += [F.sum(power).alias(f"z{i}"), F.sum(power * log).alias(f"s{i}"), F.max(power / F.col("total")).alias(f"m{i}")]
+        columns.append(F.max(F.col("total") / power).alias(f"l{i}"))
     row = shares.agg(*columns).first()
-    return [(math.log(row[f"z{i}"]) - a * row[f"s{i}"] / row[f"z{i}"], row[f"m{i}"] / row[f"z{i}"]) for i, a in enumerate(exponents)]
+    return [
+        (math.log(row[f"z{i}"]) - a * row[f"s{i}"] / row[f"z{i}"], row[f"m{i}"] / row[f"z{i}"], row[f"l{i}"] * row[f"z{i}"])
+        for i, a in enumerate(exponents)
+    ]
 
 
 def bisect(shares: DataFrame, low: float, high: float, above) -> float:
-    """Least exponent, to 32 bits of the interval, at which ``above(entropy, repeats)`` no longer holds; it holds first, if at all."""
+    """Least exponent, to 32 bits of the interval, at which ``above(entropy, repeats, least)`` no longer holds; it holds first, if at all."""
     for _ in range(PASSES):
         step = (high - low) / (1 << BITS_A_PASS)
         inner = [low + step * i for i in range(1, 1 << BITS_A_PASS)]
@@ -78,7 +84,7 @@ def bisect(shares: DataFrame, low: float, high: float, above) -> float:
     return high
 
 
-def exponent(totals: DataFrame, budget: int, target: float | None, limit: float | None) -> float:
+def exponent(totals: DataFrame, budget: int | None, target: float | None, limit: float | None) -> float:
     """The exponent whose weights have ``target`` times the highest entropy, raised until no source repeats over ``limit`` times."""
     summed = totals.where("total > 0").agg(F.sum("total").alias("t"), F.count(F.lit(1)).alias("n")).first()
     if not summed["n"]:
@@ -86,18 +92,26 @@ def exponent(totals: DataFrame, budget: int, target: float | None, limit: float
     shares = totals.where("total > 0").withColumn("share", F.col("total") / F.lit(float(summed["t"])))
     power = 0.0
     if target is not None:
-        power = bisect(shares, 0.0, MOST, lambda entropy, _: entropy > target * math.log(summed["n"]))
-    if limit is not None and power < 1.0 and figures(shares, [power])[0][1] * budget > limit:
-        power = bisect(shares, power, 1.0, lambda _, repeats: repeats * budget > limit)
+        power = bisect(shares, 0.0, MOST, lambda entropy, *_: entropy > target * math.log(summed["n"]))
+
+    def over(entropy: float, repeats: float, least: float) -> bool:
+        return repeats * (least if budget is None else budget) > limit
+
+    if limit is not None and power < 1.0 and over(*figures(shares, [power])[0]):
+        power = bisect(shares, power, 1.0, over)
     return power
 
 
-def plan(totals: DataFrame, budget: int, power: float) -> DataFrame:
-    """``totals`` with ``weight``, ``quota`` in tokens, ``rounds`` (whole ones) and ``rest`` of the quota."""
+def plan(totals: DataFrame, budget: int | None, power: float) -> DataFrame:
+    """``totals`` with ``weight``, ``quota`` in tokens, ``rounds`` (whole ones) and ``rest`` of the quota; no budget: the least whole one."""
     raised = F.when(F.col("total") > 0, F.exp(F.log("total") * power)).otherwise(0.0)
-    norm = totals.agg(F.sum(raised).alias("z")).first()["z"] or 1.0
-    quotas = totals.withColumn("weight", raised / F.lit(float(norm))).withColumn("quota", F.round(F.col("weight") * budget).cast("long"))
-    whole = F.when(F.col("total") > 0, F.floor(F.col("quota") / F.col("total"))).otherwise(0).cast("long")
+    sums = totals.agg(F.sum(raised).alias("z"), F.max(F.col("total") / F.nullif(raised, F.lit(0.0))).alias("l")).first()
+    norm = sums["z"] or 1.0
+    most = (sums["l"] or 0.0) * norm if budget is None else budget
+    quota = F.round(F.col("weight") * F.lit(most)).cast("long")
+    quota = F.greatest(quota, F.col("total")) if budget is None else quota
+    quotas = totals.withColumn("weight", raised / F.lit(float(norm))).withColumn("quota", quota)
+    whole = F.when(F.col("total") > 0, F.floor(F.col("quota") / F.col("total"))).otherwise(int(budget is None)).cast("long")
     return quotas.withColumn("rounds", whole).withColumn("rest", F.col("quota") - F.col("rounds") * F.col("total"))
 
 
@@ -142,20 +156,21 @@ def copies(place: Column, block: Column, sub: Column, doc_id: Column, source: Co
     before = F.struct(t, block, sub, place, F.coalesce(doc_id, F.lit(-(1 << 63)))) < F.struct(
         F.col("cut_turn"), F.col("cut_block"), F.col("cut_sub"), F.col("cut_place"), F.coalesce(F.col("cut_doc_id"), F.lit(-(1 << 63)))
     )
-    return F.when(F.col("total") > 0, F.col("rounds") + F.coalesce(before, F.lit(False)).cast("long")).otherwise(0)
+    return F.col("rounds") + F.when(F.col("total") > 0, F.coalesce(before, F.lit(False)).cast("long")).otherwise(0)
 
 
-def _planned(docs: DataFrame, target: float | None, limit: float | None, budget_share: float) -> tuple[DataFrame, DataFrame]:
+def _planned(docs: DataFrame, target: float | None, limit: float | None, budget_share: float | None) -> tuple[DataFrame, DataFrame]:
     rows = measure(docs)
     totals = source_totals(rows)
-    budget = int(budget_share * (totals.agg(F.sum("total").alias("t")).first()["t"] or 0))
+    budget = None if budget_share is None else int(budget_share * (totals.agg(F.sum("total").alias("t")).first()["t"] or 0))
     return rows, stored(cuts(rows, plan(totals, budget, exponent(totals, budget, target, limit))), "mix-cuts")
 
 
-def mixture(docs: DataFrame, target: float | None = None, limit: float | None = None, budget_share: float = 1.0) -> DataFrame:
+def mixture(docs: DataFrame, target: float | None = None, limit: float | None = None, budget_share: float | None = 1.0) -> DataFrame:
     """``doc_id, source, tokens, weight, quota, block, copies`` of every row.
 
-    ``target``: share of the highest entropy; ``limit``: most repeats of a source; ``budget_share``: budget by all tokens.
+    ``target``: share of the highest entropy; ``limit``: most repeats of a source; ``budget_share``: budget by all tokens;
+    None: the least budget that takes every document, with ``limit`` from 1 on.
     """
     rows, decided = _planned(docs, target, limit, budget_share)
     joined = rows.join(decided.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source")))
@@ -163,7 +178,7 @@ def mixture(docs: DataFrame, target: float | None = None, limit: float | None =
     return joined.select("doc_id", "source", "tokens", "weight", "quota", "block", taken.alias("copies"))
 
 
-def mixed(docs: DataFrame, target: float | None = None, limit: float | None = None, budget_share: float = 1.0) -> DataFrame:
+def mixed(docs: DataFrame, target: float | None = None, limit: float | None = None, budget_share: float | None = 1.0) -> DataFrame:
     """The rows of ``docs``, all columns, each as often as it is taken. Texts are not shuffled."""
     _, decided = _planned(docs, target, limit, budget_share)
     place = hash_of(F.coalesce(F.col("__id").cast("string"), F.lit("")))

@@ -151,3 +151,23 @@ def test_pipeline_stages(ready, awkward):
     pieces = corpus_pipeline.STAGES[-1][1](ready, docs, "")
     lengths = pieces.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m")).collect()
     assert lengths and all(r.n == r.m for r in lengths)
+
+
+@pytest.mark.parametrize("sources", [["hot", "hot", "hot", "b", "c"], ["one"], ["a", "b"]])
+def test_least_budget_loses_no_document(ready, sources):
+    rows = [(i, " ".join(["x"] * (1 + i % 17)), "en", sources[i % len(sources)]) for i in range(300)]
+    docs = table(ready, rows + [(1000, "", "en", "no tokens"), (None, "no id", "en", None)])
+    got = {r.doc_id: r for r in mixing.mixture(docs, limit=2.0, budget_share=None).collect()}
+    assert len(got) == 302 and all(1 <= r.copies <= 2 for r in got.values())
+    assert any(r.copies == 2 for r in got.values()) and (got[1000].quota, got[1000].copies) == (0, 1)
+    if "hot" in sources:
+        assert all(r.copies == 1 for r in got.values() if r.source == "hot")
+    assert mixing.mixed(docs.limit(0), limit=2.0, budget_share=None).count() == 0
+
+
+@pytest.mark.parametrize("sources", [["hot", "hot", "hot", "b", "c"], ["one"], ["a", "b"]])
+def test_mixing_stage_keeps_every_document(ready, sources):
+    docs = table(ready, [(i, " ".join(["x"] * (1 + i % 17)), "en", sources[i % len(sources)]) for i in range(300)])
+    mixed = corpus_pipeline.mix(ready, docs, "")
+    assert mixed.columns == docs.columns
+    assert {r.doc_id for r in mixed.select("doc_id").collect()} == set(range(300))
