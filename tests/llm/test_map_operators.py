@@ -159,3 +159,44 @@ def test_token_counts_equal_the_library_and_use_the_cache(ready, awkward, empty,
     counted = token_counts.count_tokens(awkward, path, cache).collect()
     assert len(counted) == len(AWKWARD) and {r.n_tokens for r in counted if r.doc_id in (1, 2)} == {0}
     assert token_counts.count_tokens(empty, path, cache).count() == 0
+
+
+def iban_brute(text):
+    """From each word that can begin one: of the beginnings that pass mod-97, the one of its country's length, else the longest."""
+    out = []
+    for head in re.finditer(r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})", text):
+        run = re.match(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9])*", text[head.start() :])[0]
+        valid = []
+        for end in range(1, len(run) + 1):
+            part, rest = run[:end], text[head.start() + end : head.start() + end + 1]
+            plain = part.replace(" ", "")
+            if not re.match("[A-Za-z0-9]", rest) and not part.endswith(" ") and 15 <= len(plain) <= 34:
+                if int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
+                    valid.append(part)
+        exact = [v for v in valid if f"{v[:2]}{len(v.replace(' ', ''))}" in pii.LENGTHS.split()]
+        if valid:
+            out.append((head.start(), head.start() + len((exact[:1] or valid[-1:])[0])))
+    return out
+
+
+def test_account_numbers_beside_capitals_and_figures(ready):
+    de, gb = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"
+    once = {
+        f"{de} BIC COBADEFFXXX": de, f"{de} EUR 50": de, f"{de} 2024-01-01": de, f"ID AB12 {gb}": gb, f"AB12 3456 7890 1234 5678 {gb} REF 1": gb,
+        f"é𝒳 {de} ABCDEFGHIJKLMNOPQRSTUVWXYZ": de, f"PAY {gb} NOW": gb, f"{de}.": de, f"{gb} bank": gb, "DE89 370 400 440 532 013 000 X": "DE89 370 400 440 532 013 000",
+    }
+    rng = np.random.default_rng(7)
+    words = [de, gb, "AB12", "XY99", "EUR", "50", "BIC", "COBADEFFXXX", "bank", "\x01", "\x03", "é𝒳", "NO9386011117947", "-", "A1"]
+    mixed = [" ".join(rng.choice(words, rng.integers(1, 14))) for _ in range(150)]
+    rows = list(enumerate([*once, *mixed, f"{de} {gb} " * 3, "AB12 " * 400, f"x{de}", f"{de}x"]))
+    got = {r.doc_id: [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("iban")] for r in pii.report(table(ready, rows)).collect()}
+    for i, text in rows:
+        assert got[i] == iban_brute(text), text[:80]
+        if text in once:
+            assert got[i] == [(text.index(once[text]), text.index(once[text]) + len(once[text]))], text
+
+
+def test_account_number_context_is_the_text_beside_it(ready):
+    de = "DE89370400440532013000"
+    rows = [(1, f"iban AB12 CD34 {de} EUR"), (2, f"{de} EUR 50 example"), (3, f"{de} EUR 50"), (4, "iban " + "." * 40 + de)]
+    assert {r.doc_id: r.scores for r in pii.report(table(ready, rows)).collect()} == {1: "100", 2: "70", 3: "90", 4: "90"}
