@@ -24,7 +24,7 @@ two digests with one key stop the job.
 Defined cases: a null or empty text, or one without words, has an empty set and
 links with nothing. A text with fewer words than ``n`` is one n-gram of all of
 them. Rows with a null ``doc_id`` count as the smallest id. Repeated rows are
-one class. An empty table gives an empty result. Other columns do not matter.
+one class. Rows that share an id are told apart by their class. An empty table gives an empty result. Other columns do not matter.
 """
 
 from __future__ import annotations
@@ -341,11 +341,17 @@ class _Join:
         return components(links.unionByName(more))
 
 
+def _named(join: _Join) -> DataFrame:
+    """``class, first, label`` of every class; classes of one component have one label."""
+    labels = stored(join.labels(), "ngram-components")
+    named = join.classes.join(labels.withColumnRenamed("vertex", "class"), "class", "left")
+    return named.select("class", "first", F.coalesce("label", "class").alias("label"))
+
+
 def linked_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, class_id`` of every row: smallest ids of its component, and of the rows with its set."""
     join = _Join(docs, n, percent)
-    labels = stored(join.labels(), "ngram-components")
-    named = join.classes.join(labels.withColumnRenamed("vertex", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
+    named = _named(join)
     least = named.groupBy("label").agg(F.min("first").alias("component"))
     ids = named.select("class", "label", F.col("first").alias("class_first")).join(least, "label").drop("label")
     rows = join.sets.select("doc_id", "n_shingles", "class").join(ids, "class", "left")
@@ -357,7 +363,36 @@ def linked_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """Rows of ``docs``, all columns, without those that link to a row with a smaller id; of rows with the kept id, one stays."""
-    groups = linked_groups(docs, n, percent)
-    gone = stored(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone")).distinct(), "ngram-gone")
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    """Rows of ``docs``, all columns: one of each linked group, and all that have no words.
+
+    The one has the group's smallest id; of several classes with that id the smallest, and of its rows with it the first by text.
+    """
+    join = _Join(docs, n, percent)
+    kept = _named(join).groupBy("label").agg(F.min(F.struct("first", "class")).alias("kept")).select("kept.class", "kept.first")
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY))
+    rows = join.sets.groupBy(key.alias("__key"), "class").agg(F.count(F.lit(1)).alias("rows"), F.max("n_shingles").alias("size"))
+    stay = F.when(F.col("size") == 0, F.col("rows")).when(F.col("first") == F.col("__key"), 1).otherwise(0)
+    decided = stored(rows.join(kept, "class", "left").select("__key", "class", "rows", stay.alias("stay")), "ngram-decided")
+    ids = decided.groupBy("__key").agg(F.sum("rows").alias("rows"), F.sum("stay").alias("stay")).where("stay < rows")
+    ids = stored(ids.select("__key", (F.col("stay") > 0).alias("some")), "ngram-gone")
+    whole = docs.join(ids.select("__key"), key == F.col("__key"), "left_anti")
+    some = ids.where("some").select("__key")
+    return whole if some.isEmpty() else whole.unionByName(_some_rows(docs, key, decided.join(some, "__key", "left_semi"), n))
+
+
+def _some_rows(docs: DataFrame, key: Column, decided: DataFrame, n: int) -> DataFrame:
+    """Of the ids in ``decided``, of which some rows go and some stay: the rows of ``docs`` that stay."""
+
+    @F.arrow_udf("long")
+    def class_key(batch: pa.Array) -> pa.Array:
+        return pa.array([class_of(digest_of(g)) for g in _sets_of(batch, n)], pa.int64())
+
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), key.alias("__key"))
+    rows = rows.join(decided.select("__key").distinct(), "__key", "left_semi")
+    rows = rows.withColumn("__class", class_key(F.coalesce(F.col("__row.text"), F.lit(""))))
+    staying = decided.where("stay > 0").select("__key", F.col("class").alias("__class"), (F.col("stay") == F.col("rows")).alias("__all"))
+    met = stored(rows.join(staying, ["__key", "__class"]), "ngram-some")
+    first = F.min_by("__row", F.struct(F.col("__row.text").alias("text"), F.to_json("__row").alias("row")))
+    one = met.where("NOT __all").groupBy("__key", "__class").agg(first.alias("__row"))
+    both = met.where("__all").select("__row").unionByName(one.select("__row"))
+    return both.select(*[F.col("__row")[c].alias(c) for c in docs.columns])

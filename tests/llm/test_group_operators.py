@@ -171,3 +171,42 @@ def test_mixing_stage_keeps_every_document(ready, sources):
     mixed = corpus_pipeline.mix(ready, docs, "")
     assert mixed.columns == docs.columns
     assert {r.doc_id for r in mixed.select("doc_id").collect()} == set(range(300))
+
+
+def brute_one_of_each(rows, n, percent):
+    """(id, set) of every kept row: one of each component, by the smallest id (null first), and all without words."""
+    sets = [frozenset(gram_set(t, n)) for _, t in rows]
+    links = [(a, b) for a in range(len(sets)) for b in range(a) if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    groups = {}
+    for row, label in enumerate(closure(len(sets), links)):
+        groups.setdefault(label, []).append(row)
+    least = ngram_join.NULL_KEY
+    return [min(least if rows[r][0] is None else rows[r][0] for r in g) for g in groups.values()], {
+        label: {sets[r] for r in g} for label, g in groups.items()
+    }
+
+
+def test_one_of_each_by_row_on_repeated_and_null_ids(ready, awkward):
+    rng = np.random.default_rng(3)
+    bases = [[f"w{x}" for x in rng.integers(0, 400, 60)] for _ in range(8)]
+    rows = [(0, ""), (0, None), (3, " "), (None, ""), (70, "own clean text of this id"), (70, " ".join(bases[0]))]
+    for i in range(120):
+        words = list(bases[rng.integers(len(bases))])
+        words[rng.integers(60)] = f"n{rng.integers(4)}"
+        text = " ".join(words) if i % 5 else f"alone {i} with some other words {i}"
+        rows.append((None if i % 11 == 0 else int(rng.integers(1, 60)), text.upper() if i % 7 == 0 else text))
+        if i % 9 == 0:
+            rows.append(rows[-1])
+    got = [(r.doc_id, r.text) for r in ngram_join.one_of_each(table(ready, rows).repartition(5), 5, 80).collect()]
+    assert all(row in rows for row in got)
+    ids, sets = brute_one_of_each(rows, 5, 80)
+    wordless = [r for r in rows if not gram_set(r[1], 5)]
+    assert sorted((r for r in got if not gram_set(r[1], 5)), key=str) == sorted(wordless, key=str)
+    worded = [(ngram_join.NULL_KEY if i is None else i, frozenset(gram_set(t, 5))) for i, t in got if gram_set(t, 5)]
+    groups = [s for s in sets.values() if s != {frozenset()}]
+    assert len(worded) == len(groups)
+    assert sorted(i for i, _ in worded) == sorted(i for i, s in zip(ids, sets.values()) if s != {frozenset()})
+    assert all(sum(own in s for _, own in worded) == 1 for s in groups)
+    kept = ngram_join.one_of_each(awkward)
+    assert kept.columns == awkward.columns
+    assert sorted(r.doc_id or 0 for r in kept.select("doc_id").collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 9]
