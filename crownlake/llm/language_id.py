@@ -13,7 +13,8 @@ For inference the filters' weights are summed beforehand per pair of bytes, so
 one look-up stands for two positions of all filters.
 
 Defined cases: a null text, and one without a letter, is ``und`` with score 0.
-If there is no labelled training row, every text is ``und`` with score 0. Rows
+If there is no labelled training row, every text is ``und`` with score 0;
+``recognised`` then lets all texts with a letter pass. Rows
 with a null ``doc_id`` are not trained on. Repeated rows get the same answer.
 An empty table gives an empty result. Texts of any length are read whole.
 """
@@ -183,6 +184,10 @@ def probabilities(model: Model, tables: tuple[np.ndarray, np.ndarray], batch: pa
     return out / np.maximum(out.sum(axis=1, keepdims=True), 1e-12)
 
 
+def has_letter(text: Column) -> Column:
+    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+
+
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` with two more columns, ``lang_pred`` and ``score``; only ``text`` is read."""
     prepare(docs.sparkSession)
@@ -200,7 +205,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
             names = pa.array([own.languages[i] for i in best], pa.string())
             yield pa.StructArray.from_arrays([names, pa.array(p[np.arange(len(best)), best], pa.float64())], ["lang", "score"])
 
-    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    lettered = has_letter(F.col("text"))
     found = docs.withColumn("__found", predict(F.coalesce(F.col("text"), F.lit(""))))
     return found.withColumns(
         {
@@ -227,5 +232,7 @@ def recognised(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     report_columns = docs.columns
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     model = fit(plain.where(~held_out(F.col("doc_id"))), train_rows)
+    if model is None:
+        return docs.where(has_letter(F.col("text")))
     found = identify(docs.select(*[F.col(c).alias(f"__{c}") for c in report_columns], F.col("text")), model)
-    return found.where(F.col("lang_pred") != UNDETERMINED).select(*[F.col(f"__{c}").alias(c) for c in report_columns])
+    return found.where(has_letter(F.col("text")) & F.col("lang_pred").isNotNull()).select(*[F.col(f"__{c}").alias(c) for c in report_columns])

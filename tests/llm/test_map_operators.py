@@ -200,3 +200,14 @@ def test_account_number_context_is_the_text_beside_it(ready):
     de = "DE89370400440532013000"
     rows = [(1, f"iban AB12 CD34 {de} EUR"), (2, f"{de} EUR 50 example"), (3, f"{de} EUR 50"), (4, "iban " + "." * 40 + de)]
     assert {r.doc_id: r.scores for r in pii.report(table(ready, rows)).collect()} == {1: "100", 2: "70", 3: "90", 4: "90"}
+
+
+def test_texts_with_letters_pass_without_a_model(ready):
+    def kept(rows):
+        return sorted(r.doc_id for r in language_id.recognised(table(ready, rows), 60).collect())
+
+    unusable = [(i, f"text number {i}", None, "s") for i in range(20)] + [(20, None), (21, ""), (22, "12 34")]
+    assert kept(unusable) == list(range(20))
+    held = [(i, t, lang if zlib.crc32(str(i).encode()) % 4 == 2 else None, s) for i, t, lang, s in labelled()]
+    assert kept(held) == list(range(60))
+    assert kept([(i, t, "und", s) for i, t, _, s in labelled()] + [(60, "12 34")]) == list(range(60))
