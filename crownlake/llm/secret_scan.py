@@ -54,7 +54,7 @@ RULES = [
     Rule("hex", r"[0-9a-f]+", 0, 24, True),
     Rule("private_key", r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("url_login", r"[a-z][a-z0-9+.-]{1,15}://[^\s:/@]{1,64}:[^\s:/@]{3,64}@"),
+    Rule("url_login", r"[a-z][a-z0-9+.-]{1,15}://[^\s:/@]*+:[^\s:/@]{3,}+@"),
     Rule("bearer", r"(?ai:authorization: ?bearer) [A-Za-z0-9._~+/-]{16,}"),
     Rule("hosting_token", r"gh[pousr]_[A-Za-z0-9]{36}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),

@@ -211,3 +211,12 @@ def test_texts_with_letters_pass_without_a_model(ready):
     held = [(i, t, lang if zlib.crc32(str(i).encode()) % 4 == 2 else None, s) for i, t, lang, s in labelled()]
     assert kept(held) == list(range(60))
     assert kept([(i, t, "und", s) for i, t, _, s in labelled()] + [(60, "12 34")]) == list(range(60))
+
+
+def test_logins_with_long_or_no_names(ready):
+    long = "eyJ" + "a1._-" * 400
+    rows = [(1, f"see https://user:{long}@host/x"), (2, "redis://:secret1@host:6379"), (3, f"ftp://{'u' * 65}:abc@h"), (4, "http://u:ab@h http://host:80/a@b")]
+    rows += [(5, "ab://" + "x" * 300_000 + " " + "cd://u:" + "y" * 300_000)]
+    found = {r.doc_id: r.spans for r in secret_scan.find_secrets(table(ready, rows)).collect()}
+    logins = {i: [s for s in spans.split(",") if s.startswith("url_login")] for i, spans in found.items()}
+    assert logins == {1: [f"url_login:4:{rows[0][1].index('@') + 1}"], 2: ["url_login:0:17"], 3: ["url_login:0:76"], 4: [], 5: []}
