@@ -61,9 +61,10 @@ def q_deck_with_cards_repaired(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dim_player_by_time(profiles: DataFrame) -> DataFrame:
-    """C5 from the newest time of each player, joined back; equal newest times leave one row."""
+    """C5 from the newest time of each player, joined back; equal newest times leave one row, as does a player without times."""
     newest = profiles.groupBy("player_tag").agg(F.max("snapshot_at").alias("snapshot_at"))
-    return G.dim_player(profiles.join(newest, ["player_tag", "snapshot_at"], "left_semi"))
+    same = F.col("p.player_tag").eqNullSafe(F.col("n.player_tag")) & F.col("p.snapshot_at").eqNullSafe(F.col("n.snapshot_at"))
+    return G.dim_player(profiles.alias("p").join(newest.alias("n"), same, "left_semi"))
 
 
 def q_parse_deck(spark: SparkSession, sf: str) -> DataFrame:

@@ -200,3 +200,14 @@ def test_trophies_by_date_approx_players(spark):
     exact = A.trophies_by_date(df).first().unique_players
     approx = A.trophies_by_date(df, approx=True).first().unique_players
     assert exact == 200 and abs(approx - exact) <= 3 * 0.05 * exact  # within 3 standard deviations
+
+
+def test_dim_player_by_time_keeps_a_player_without_times(spark):
+    from pyspark.sql import functions as F
+
+    from crownlake.plans.registry import dim_player_by_time
+
+    df = profiles(spark, [("A", 100, 1, 1, 2, T0), ("A", 200, 1, 1, 2, T0 + dt.timedelta(days=1)), ("B", 50, 0, 0, 0, T0)])
+    df = df.withColumn("snapshot_at", F.when(F.col("player_tag") != "B", F.col("snapshot_at")))
+    want = sorted(G.dim_player(df).collect(), key=str)
+    assert sorted(dim_player_by_time(df).collect(), key=str) == want and len(want) == 2
