@@ -36,6 +36,12 @@ def dim_card(battles: DataFrame) -> DataFrame:
     return names.where(F.col("card_name").isNotNull()).distinct()
 
 
+def dim_card_union(battles: DataFrame) -> DataFrame:
+    """C6 as in the original: the cards of either deck, united by name (two scans)."""
+    sides = [battles.select(F.explode(deck).alias("card_name")) for deck in ("player_deck", "opponent_deck")]
+    return sides[0].unionByName(sides[1]).where(F.col("card_name").isNotNull()).distinct()
+
+
 def deck_stats(battles: DataFrame, keys: list[str]) -> DataFrame:
     return battles.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_battles"),

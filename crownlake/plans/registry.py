@@ -276,6 +276,7 @@ def core_queries() -> dict[str, Query]:
         "dim_player": lambda s, sf: G.dim_player(_profiles(s, sf)),
         "dim_player_window": lambda s, sf: dim_player_by_time(_profiles(s, sf)),
         "dim_card": lambda s, sf: G.dim_card(_battles(s, sf)),
+        "dim_card_union": lambda s, sf: G.dim_card_union(_battles(s, sf)),
         "dim_deck": lambda s, sf: G.dim_deck(_battles(s, sf)),
         "fact_battles": _fact,
         "win_rate_by_card": lambda s, sf: G.win_rate_by_card(_battles(s, sf)),

@@ -211,3 +211,9 @@ def test_dim_player_by_time_keeps_a_player_without_times(spark):
     df = df.withColumn("snapshot_at", F.when(F.col("player_tag") != "B", F.col("snapshot_at")))
     want = sorted(G.dim_player(df).collect(), key=str)
     assert sorted(dim_player_by_time(df).collect(), key=str) == want and len(want) == 2
+
+
+def test_dim_card_union_has_the_names_of_both_decks(spark):
+    df = random_battles(spark, 5)
+    names = {c for r in df.collect() for deck in (r.player_deck, r.opponent_deck) for c in deck or [] if c is not None}
+    assert sorted(r.card_name for r in G.dim_card_union(df).collect()) == sorted(names)
