@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crownlake.llm import exact_dedup, fingerprints, language_id, mixing, ngram_join, packing, pii, quality, secret_scan, token_counts
+from crownlake.llm import exact_dedup, fingerprints, language_id, mixing, ngram_join, packing, periodic_runs, pii, quality, secret_scan
+from crownlake.llm import token_counts
 from crownlake.llm.common import prepare
 
 
@@ -69,6 +70,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth text gets a periodic tail first, as the query's contract has it."""
+    planted = periodic_runs.with_planted_periods(documents(spark, sf_dir))
+    return periodic_runs.run_digests(periodic_runs.find_runs(planted, min_length=12))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
