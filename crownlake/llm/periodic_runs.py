@@ -161,15 +161,13 @@ def maximal_runs(words: np.ndarray, starts: np.ndarray, min_length: int, seed: i
         next_same = (position + period < high) & (words == words[np.minimum(position + period, n - 1)])
         last_same = (position > low) & (words[position - 1] == words[position + period - 1])
         at = np.flatnonzero(next_same | last_same)
-        roots.append(np.stack([at, period[at]], axis=1))
-    candidates = np.unique(np.concatenate(roots), axis=0)
-    at, period = candidates[:, 0], candidates[:, 1]
+        roots.append(period[at] * np.int64(n + 1) + at)
+    code = np.unique(np.concatenate(roots))
+    period, at = np.divmod(code, np.int64(n + 1))
     lce = Extensions(words, seed)
     # Of the equal roots that follow each other in one run, the first is enough.
-    code = period * np.int64(n + 1) + at
-    sorted_code = np.sort(code)
-    place = np.minimum(np.searchsorted(sorted_code, code - period), len(code) - 1)
-    preceded = (sorted_code[place] == code - period) & (at - period >= low[at])
+    place = np.searchsorted(code, code - period)
+    preceded = (at - period >= low[at]) & (code[place] == code - period)
     later = np.flatnonzero(preceded)
     preceded[later] = lce.equal(at[later] - period[later], period[later], period[later])
     at, period = at[~preceded], period[~preceded]
