@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crownlake.llm import exact_dedup, fingerprints, language_id, mixing, ngram_join, packing, periodic_runs, pii, quality, secret_scan
-from crownlake.llm import token_counts
+from crownlake.llm import exact_dedup, fingerprints, language_id, license_scan, mixing, ngram_join, packing, periodic_runs, pii, quality
+from crownlake.llm import secret_scan, token_counts
 from crownlake.llm.common import prepare
 
 
@@ -76,6 +76,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(periodic_runs.find_runs(planted, min_length=12))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_report(license_scan.find_licenses(documents(spark, sf_dir)))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 

@@ -1,0 +1,124 @@
+"""License spans against plain scans, and planted licenses with changed words."""
+
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+
+from crownlake.llm import license_scan, queries
+from crownlake.llm.common import utf8_bytes
+from crownlake.llm.license_scan import LICENSES, PHRASES, find_licenses, gram_hashes, license_report, templates, words_of
+
+from .conftest import AWKWARD, table
+from .conftest_llm import TEXTS
+
+
+def plain_words(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def plain_base(text):
+    """(n_words, n_base, first, last, labels) by trying every phrase at every word."""
+    words = plain_words(text)
+    places = [(i, label) for label, phrase in PHRASES for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
+    starts = [i for i, _ in places]
+    return len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places}))
+
+
+def plain_spans(text, coverage):
+    """Labels of templates, by comparing every word 4-gram of the text with every one of the template."""
+    words, labels, best = plain_words(text), set(), 0.0
+    for label, license_ in LICENSES:
+        template = plain_words(license_)
+        size, gap = len(template), min(8, len(template) // 2)
+        by_diagonal = {}
+        for p in range(len(words) - 3):
+            for t in range(size - 3):
+                if words[p : p + 4] == template[t : t + 4]:
+                    by_diagonal.setdefault(p - t, []).append(p)
+        clusters = []
+        for d, places in sorted(by_diagonal.items(), key=lambda x: (min(x[1]), x[0])):
+            for c in reversed(clusters):
+                if abs(c[-1][0] - d) <= gap and min(places) <= max(max(x[1]) for x in c[-gap:]) + 4 + gap:
+                    c.append((d, places))
+                    break
+            else:
+                clusters.append([(d, places)])
+        for c in clusters:
+            found = {
+                t
+                for d, places in c
+                for t in range(size)
+                if min(places) - 4 <= d + t < max(places) + 8 and 0 <= d + t < len(words) and words[d + t] == template[t]
+            }
+            best = max(best, len(found) / size)
+            if len(found) / size >= coverage:
+                labels.add(label)
+    return labels, best
+
+
+def planted():
+    rng = random.Random(4)
+    rows = list(enumerate(TEXTS))
+    fill = ["the", "of", "License", "software", "copy", "permission", "mit", "cc", "by", "apache", "gnu", "general", "public", "é", "7"]
+    for i in range(200):
+        parts = [" ".join(rng.choice(fill) for _ in range(rng.randrange(0, 30)))]
+        for _ in range(rng.randrange(0, 4)):
+            words = rng.choice(LICENSES + PHRASES)[1].split()
+            for _ in range(rng.choice([0, 0, 1, 3])):
+                at = rng.randrange(len(words))
+                words[at : at + rng.choice([0, 1])] = [rng.choice(fill)] * rng.choice([0, 1, 2])
+            parts += [" ".join(words), " ".join(rng.choice(fill) for _ in range(rng.randrange(0, 12)))]
+        rows.append((1000 + i, rng.choice([" ", "\n", "... "]).join(parts)))
+    return rows + [(None, "MIT License, mit-LICENSE"), (None, "MIT License, mit-LICENSE"), (None, "other"), (3000, None), (3001, ""), (3002, "?!")]
+
+
+def test_words_and_grams():
+    for text in TEXTS:
+        assert [w.decode() for w in words_of(text)] == plain_words(text)
+    n, grams = gram_hashes(*utf8_bytes(pa.array(TEXTS)))
+    assert n.tolist() == [len(plain_words(t)) for t in TEXTS] and len(grams) == n.sum()
+    words = sum((plain_words(t) for t in TEXTS), [])
+    for column, k in enumerate(license_scan.GRAMS):
+        pairs = {tuple(words[i : i + k]): h for i, h in enumerate(grams[: len(words) - k, column].tolist())}
+        assert len(set(pairs.values())) == len(pairs)
+        assert all(pairs[tuple(words[i : i + k])] == h for i, h in enumerate(grams[: len(words) - k, column].tolist()))
+    assert gram_hashes(np.zeros(0, np.uint8), np.array([0, 0]))[0].tolist() == [0]
+
+
+def test_template_postings_cover_every_template(ready):
+    rows = license_scan.template_grams(ready).collect()
+    assert {r.template for r in rows} == {license_scan.DOCUMENT, *range(len(templates()))}
+
+
+def test_query_against_plain_scan(ready, tmp_path):
+    rows = planted()
+    table(ready, rows).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op12_license_scan(ready, str(tmp_path))
+    assert got.columns == ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    want = []
+    for doc_id, text in rows:
+        n, n_base, first, last, base = plain_base(text)
+        labels, best = plain_spans(text, license_scan.COVERAGE)
+        everything = ",".join(sorted(labels | set(filter(None, base.split(",")))))
+        want.append((doc_id, n, n_base, first, last, base, everything, 1.0 if n_base else best))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert {x for r in want for x in r[6].split(",")} >= {"mit", "apache", "gpl", "cc-by", "bsd", "isc", "mpl", "unlicense"}
+
+
+def test_long_texts_span_blocks(ready):
+    body = LICENSES[4][1]
+    text = " ".join(f"w{i}" for i in range(license_scan.BLOCK - 30)) + " " + body + " x" * 9000 + " cc by"
+    row = license_report(find_licenses(table(ready, [(1, text)]))).first()
+    assert (row.n_base, row.first_word, row.base_labels, row.labels) == (1, row.n_words - 2, "cc-by", "cc-by,mit")
+    spans = find_licenses(table(ready, [(1, text)])).first().spans
+    assert (license_scan.BLOCK - 30, license_scan.BLOCK - 30 + len(plain_words(body)), 1.0) in {(s.start, s.end, s.coverage) for s in spans}
+
+
+def test_awkward_rows(ready, awkward, empty):
+    got = license_report(find_licenses(awkward)).collect()
+    assert sorted(((r.doc_id, r.n_words) for r in got), key=repr) == sorted(((r[0], len(plain_words(r[1]))) for r in AWKWARD), key=repr)
+    assert all(r.n_base == 0 and r.first_word is None and r.labels == "" and r.score == 0 for r in got)
+    assert license_report(find_licenses(empty)).count() == 0
