@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crownlake.llm import exact_dedup, fingerprints, language_id, license_scan, mixing, ngram_join, packing, periodic_runs, pii, quality
-from crownlake.llm import secret_scan, token_counts
+from crownlake.llm import secret_scan, token_counts, vector_codes
 from crownlake.llm.common import prepare
 
 
@@ -80,6 +80,11 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_report(license_scan.find_licenses(documents(spark, sf_dir)))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return vector_codes.code_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
