@@ -3,15 +3,21 @@
 A document's tokens are counted in hashed buckets; the square-rooted, normalised
 vector is projected to three dimensions and quantised, and its place on a
 Hilbert curve through that cube is its key. Encoded documents are written once,
-range-sorted by (key, hash of the id) - the hash splits documents with one key,
-such as a large group of copies - and each range is packed as one stream of
-tokens: neighbours on the curve share sequences, cuts fall every ``size``
-tokens. The tail of a range, shorter than ``size``, becomes sequences whose
+range-sorted by (key, hash of id and tokens) - the hash splits documents with
+one key, such as a large group of copies - and each range is packed as a stream
+of tokens: neighbours on the curve share sequences, cuts fall every ``size``
+tokens. The tail of a stream, shorter than ``size``, becomes sequences whose
 lengths are the powers of two in its binary form, so that nothing is padded.
 
+A row that is repeated as a whole (as a mixture does) meets its repeats in the
+sort. They are numbered, and each number is a stream of its own along the same
+range, so no sequence holds one document twice unless it is longer than a
+sequence. Past ``OPEN_STREAMS`` repeats a stream is ended before it takes the next one.
+
 Defined cases: a null or empty text has the closing token alone. A null
-``doc_id`` and repeated rows are packed like any other row. An empty table
-gives an empty result. Texts of any length are encoded whole and cut freely.
+``doc_id`` is packed like any other. An empty table gives an empty result.
+Texts of any length are encoded whole and cut freely. Columns other than
+``doc_id`` and ``text`` are left behind.
 """
 
 from __future__ import annotations
@@ -39,13 +45,14 @@ DIMENSIONS, BITS = 3, 10
 REACH = 3.0
 
 ENCODED = "doc_id bigint, curve_key bigint, ids binary"
-PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
+PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, copy int"
 ID = np.dtype(np.uint16)
 # A word of Latin-1 letters, and the signs behind it: the tokenizer always separates the two,
 # lower-cases the word letter by letter, and normalisation leaves both as they are.
 WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 SPECIAL = "<|"
 MEMO_ENTRIES = 700_000
+OPEN_STREAMS = 8
 
 _loaded: dict[str, tuple] = {}
 
@@ -159,21 +166,31 @@ def _encode(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 
 
 class _Stream:
-    """Cuts one range's stream of tokens into sequences; keeps only the unfinished one."""
+    """Cuts one stream of tokens into sequences; keeps only the unfinished one. ``sequences`` holds the next id of the task."""
 
-    def __init__(self, size: int, first_sequence: int) -> None:
-        self.size, self.sequence = size, first_sequence
-        self.docs = np.zeros((0, 3), np.int64)  # of each segment: row of doc id, ids before it, tokens of its document
+    def __init__(self, size: int, sequences: list[int]) -> None:
+        self.size, self.sequences = size, sequences
+        self.docs = np.zeros((0, 3), np.int64)  # of each segment: ids before it, tokens of its document, its copy number
         self.names: list[int | None] = []
         self.lengths = np.zeros(0, np.int64)
         self.ids = np.zeros(0, ID)
 
-    def add(self, names: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> None:
+    def add(self, names: list[int | None], lengths: np.ndarray, copies: np.ndarray, ids: np.ndarray) -> None:
         self.names = self.names + names
-        self.docs = np.concatenate([self.docs, np.stack([np.zeros_like(lengths), lengths], axis=1)]) if len(self.docs) else np.stack([np.zeros_like(lengths), lengths], axis=1)
+        self.docs = np.concatenate([self.docs, np.stack([np.zeros_like(lengths), lengths, copies], axis=1)])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.ids = np.concatenate([self.ids, ids])
 
+    def whole(self) -> Iterator[pa.RecordBatch]:
+        """The sequences that are full."""
+        if full := len(self.ids) // self.size:
+            yield self.take(np.arange(1, full + 1, dtype=np.int64) * self.size)
+
+    def tail(self) -> Iterator[pa.RecordBatch]:
+        """What is left, in powers of two."""
+        if rest := len(self.ids):
+            yield self.take(np.cumsum([1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]).astype(np.int64))
+
     def take(self, limits: np.ndarray) -> pa.RecordBatch:
         """Emit the sequences that end at the ``limits`` of the kept stream, and keep the rest."""
         total = int(limits[-1])
@@ -191,11 +208,12 @@ class _Stream:
                 "length": pa.array(ends - cuts),
                 "ids_crc32": pa.array([zlib.crc32(wide[4 * a : 4 * b]) for a, b in zip(cuts, ends)], pa.int64()),
                 "doc_tokens": pa.array(self.docs[of, 1]),
-                "sequence_id": pa.array(self.sequence + inside),
+                "sequence_id": pa.array(self.sequences[0] + inside),
                 "offset": pa.array(cuts - sequence_start),
+                "copy": pa.array(self.docs[of, 2].astype(np.int32)),
             }
         )
-        self.sequence += len(limits)
+        self.sequences[0] += len(limits)
         last = int(np.searchsorted(starts, total, side="right")) - 1
         if last >= 0 and starts[last] + self.lengths[last] <= total:
             last += 1
@@ -209,30 +227,46 @@ class _Stream:
 
 def _pack(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stream = _Stream(size, TaskContext.get().partitionId() << 40)
+        sequences = [TaskContext.get().partitionId() << 40]
+        streams = [_Stream(size, sequences) for _ in range(OPEN_STREAMS)]
+        last: tuple[int | None, bytes] | None = None
+        copy = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            blobs = batch.column("ids")
-            lengths = pc.binary_length(blobs).to_numpy(zero_copy_only=False).astype(np.int64) // ID.itemsize
-            stream.add(batch.column("doc_id").to_pylist(), lengths, np.frombuffer(b"".join(blobs.to_pylist()), ID))
-            if full := len(stream.ids) // size:
-                yield stream.take(np.arange(1, full + 1, dtype=np.int64) * size)
-        if rest := len(stream.ids):
-            yield stream.take(np.cumsum([1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]).astype(np.int64))
+            names, blobs = batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()
+            copies = np.zeros(len(names), np.int64)
+            for i, (name, blob) in enumerate(zip(names, blobs)):
+                same = last is not None and last[0] == name and last[1] == blob
+                copy = copy + 1 if same else 0
+                copies[i], last = copy, (name, blob)
+            lengths = np.array([len(b) // ID.itemsize for b in blobs], np.int64)
+            first = copies == 0
+            if first.any():
+                own = np.flatnonzero(first)
+                streams[0].add([names[i] for i in own], lengths[own], copies[own], np.frombuffer(b"".join([blobs[i] for i in own]), ID))
+                yield from streams[0].whole()
+            for i in np.flatnonzero(~first):
+                stream = streams[1 + (copies[i] - 1) % (OPEN_STREAMS - 1)]
+                if copies[i] >= OPEN_STREAMS:
+                    yield from stream.tail()
+                stream.add([names[i]], lengths[i : i + 1], copies[i : i + 1], np.frombuffer(blobs[i], ID))
+                yield from stream.whole()
+        for stream in streams:
+            yield from stream.tail()
 
     return run
 
 
 def pack(docs: DataFrame, tokenizer_path: str, size: int = SIZE) -> DataFrame:
-    """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
+    """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, copy``.
 
-    ``size`` is a power of two. Sequence ids are unique, not gapless.
+    ``copy`` numbers the repeats of a whole row from 0. ``size`` is a power of two. Sequence ids are unique, not gapless.
     """
     spark = docs.sparkSession
     prepare(spark)
     encoded = stored(texts(docs).mapInArrow(_encode(tokenizer_path), ENCODED), "encoded", "zstd")
-    tie = F.xxhash64("doc_id")
+    tie = F.xxhash64("doc_id", F.crc32("ids"))
     ranged = encoded.withColumn("__tie", tie).repartitionByRange(shuffle_partitions(spark), "curve_key", "__tie")
-    along = ranged.sortWithinPartitions("curve_key", "__tie", "doc_id").select("doc_id", "ids")
+    along = ranged.sortWithinPartitions("curve_key", "__tie", "doc_id", "ids").select("doc_id", "ids")
     return along.mapInArrow(_pack(size), PIECES)

@@ -148,9 +148,31 @@ def test_pipeline_stages(ready, awkward):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(ready, docs, "")
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
+    rows = docs.groupBy("doc_id", "text").count().collect()
     pieces = corpus_pipeline.STAGES[-1][1](ready, docs, "")
-    lengths = pieces.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m")).collect()
-    assert lengths and all(r.n == r.m for r in lengths)
+    lengths = pieces.groupBy("doc_id", "copy", "doc_tokens").agg(F.sum("length").alias("n")).collect()
+    assert lengths and all(r.n == r.doc_tokens for r in lengths)
+    # A piece for each row that went in: id 5 holds two texts, and the mixture repeats some rows.
+    assert sorted((r.doc_id or -1, r.copy) for r in lengths) == sorted((r.doc_id or -1, c) for r in rows for c in range(r["count"]))
+
+
+def test_pipeline_on_an_empty_table(ready, empty):
+    docs = empty
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(ready, docs, "")
+    assert docs.count() == 0
+
+
+def test_no_sequence_holds_a_document_twice(ready):
+    rows = [(i, f"document {i} " + " ".join(f"w{(i * 7 + j) % 50}" for j in range(i % 90))) for i in range(120)]
+    repeated = [r for r in rows for _ in range(1 + r[0] % 3)] + [rows[0]] * 20 + [(None, "no id")] * 3 + [(5, "another text of five")] * 2
+    pieces = corpus_pipeline.packed(ready, table(ready, repeated).repartition(7), "").collect()
+    assert len({(p.doc_id, p.copy, p.doc_tokens) for p in pieces}) == len(repeated)
+    inside = {}
+    for p in pieces:
+        inside.setdefault(p.sequence_id, []).append((p.doc_id, p.doc_tokens))
+    assert all(len(set(docs)) == len(docs) for docs in inside.values())
+    assert max(len(docs) for docs in inside.values()) > 10
 
 
 @pytest.mark.parametrize("sources", [["hot", "hot", "hot", "b", "c"], ["one"], ["a", "b"]])
