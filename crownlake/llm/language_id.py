@@ -6,7 +6,8 @@ layer. Windows overlap by three bytes, so every byte sequence of a text is in
 a window, and a text's language is that of the mean of its windows' class
 probabilities, weighted by their bytes. Training is plain numpy on the driver, on at most ``train_rows``
 labelled texts spread evenly over the languages by a hash of the id; a text
-gives a few windows at hashed places. The trained tables are a few megabytes at
+gives a few windows at hashed places of a stretch of at most ``SAMPLE_CHARS``
+code points. The trained tables are a few megabytes at
 most, whatever the corpus, and go to the tasks with the function.
 
 For inference the filters' weights are summed beforehand per pair of bytes, so
@@ -41,6 +42,8 @@ WINDOWS_PER_ROW = 2
 CHUNK = 64  # windows at a time: their activations stay within the cache
 PAD = 0
 UNDETERMINED = "und"
+CONFIDENCE = 0.3  # the filter drops a text whose best language stays below this
+SAMPLE_CHARS = 4096  # code points of a training row, from a hashed place on
 
 
 def crc_text(doc_id: Column) -> Column:
@@ -149,7 +152,9 @@ def sample(docs: DataFrame, train_rows: int) -> pd.DataFrame:
     bar = F.lit(0.0)
     for lang, n in sorted(counts.items()):
         bar = F.when(F.col("lang") == lang, F.lit(min(1.0, 1.1 * quota / n))).otherwise(bar)
-    return labelled.where(share < bar).select("doc_id", "lang", "text").orderBy(share / bar, "doc_id").limit(train_rows).toPandas()
+    spare = F.greatest(F.length("text") - F.lit(SAMPLE_CHARS), F.lit(0)) + 1
+    stretch = F.substring(F.col("text"), (F.pmod(F.xxhash64("doc_id", F.lit("stretch")), spare) + 1).cast("int"), F.lit(SAMPLE_CHARS))
+    return labelled.where(share < bar).select("doc_id", "lang", stretch.alias("text")).orderBy(share / bar, "doc_id").limit(train_rows).toPandas()
 
 
 def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model | None:
@@ -227,12 +232,19 @@ def language_report(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def recognised(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has a language: null, empty and letterless texts go."""
+def recognised(docs: DataFrame, train_rows: int = TRAIN_ROWS, confidence: float = CONFIDENCE) -> DataFrame:
+    """The rows of ``docs`` whose text has a language, all columns; a null ``lang`` is filled with the prediction.
+
+    Null, empty and letterless texts go, and those of which no language reaches ``confidence``. Without a single
+    labelled row there is no model: then texts with letters stay as they are.
+    """
     report_columns = docs.columns
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     model = fit(plain.where(~held_out(F.col("doc_id"))), train_rows)
     if model is None:
         return docs.where(has_letter(F.col("text")))
     found = identify(docs.select(*[F.col(c).alias(f"__{c}") for c in report_columns], F.col("text")), model)
-    return found.where(has_letter(F.col("text")) & F.col("lang_pred").isNotNull()).select(*[F.col(f"__{c}").alias(c) for c in report_columns])
+    lang = F.coalesce(F.col("__lang"), F.col("lang_pred"))
+    return found.where(has_letter(F.col("text")) & (F.col("score") >= confidence)).select(
+        *[(lang if c == "lang" else F.col(f"__{c}")).alias(c) for c in report_columns]
+    )
