@@ -6,12 +6,22 @@ the SHA-256 of the text (null read as empty; no other normalisation, since any
 would change counts). Content digests are joined to the stored counts, only
 distinct misses are encoded, and their counts are appended to the cache.
 
+The cache is a folder of Parquet folders, one for each run that added counts.
+By default it lies in the shared folder, under the tokenizer's digest, and
+outlives the run. A run writes a folder of its own, so runs may append at the
+same time; a digest that two runs added counts once. ``compact`` rewrites a cache as one folder.
+
 Copies are dropped within each scan task before the shuffle, so a group of
-copies that holds a third of all rows sends one text per task. Within a text,
-distinct chunks are encoded once: a piece of the vocabulary that holds the
-space mark anywhere but at its start is made of space marks only (checked when
-the model is loaded; otherwise whole texts are encoded), so the tokens of a
-text are those of its chunks, each a run of spaces with the word after it.
+copies that holds a third of all rows sends one text per task. On the way back
+from the counts to the rows, digests that hold over a thousandth of all rows -
+fewer than a thousand, whatever the input - are answered by a broadcast and their rows are
+spread by id; no other digest can fill a task.
+
+Within a text, distinct chunks are encoded once: a piece of the vocabulary that
+holds the space mark anywhere but at its start is made of space marks only
+(checked when the model is loaded; otherwise whole texts are encoded), so the
+tokens of a text are those of its chunks, each a run of spaces with the word
+after it. A text that holds the space mark itself is encoded whole.
 
 Defined cases: a null or empty text has 0 bytes and 0 tokens. A null ``doc_id``
 and repeated rows are counted like any other row. An empty table gives an empty
@@ -22,20 +32,23 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crownlake.llm.chunks import distinct_chunks, lookup, sums
-from crownlake.llm.common import exists, prepare, shuffle_partitions, texts
-from crownlake.session import scratch_path
+from crownlake.llm.common import exists, prepare, shuffle_partitions, stored, texts
+from crownlake.session import ensure_checkpoint_dir
 
 CACHE = "tokenizer string, digest binary, n_bytes bigint, n_tokens bigint"
 SPACE_MARK = "▁"
+METHOD = 2  # to be raised when counts of the same library and model change
+HOT_ROWS, HOT_SHARE = 1000, 1000
 # A chunk starts at a space that follows something else; that space is the model's own leading mark.
 BORDER = re.compile(r"(?<=[^ ]) ")
 
@@ -74,10 +87,13 @@ def count_batch(path: str, batch: pa.Array) -> np.ndarray:
         return np.array(counts(batch.to_pylist()), np.int64)
     # A text in which no space meets another or an end splits at each space; the rest split at BORDER.
     odd = pc.match_substring_regex(batch, "^ |  | $").to_numpy(zero_copy_only=False)
-    lists = pc.split_pattern(pc.if_else(pa.array(odd), "", batch), " ")
+    marked = pc.match_substring(batch, SPACE_MARK).to_numpy(zero_copy_only=False)
+    lists = pc.split_pattern(pc.if_else(pa.array(odd | marked), "", batch), " ")
     chunks, index, offsets = distinct_chunks(lists)
     out = sums(np.array(lookup(chunks, memo, counts), np.int64)[index], offsets)
-    for i in np.flatnonzero(odd):
+    if marked.any():
+        out[marked] = counts(batch.filter(pa.array(marked)).to_pylist())
+    for i in np.flatnonzero(odd & ~marked):
         parts = BORDER.split(batch[int(i)].as_py())
         out[i] = sum(lookup(parts, memo, counts)) + (len(parts) > 1 and parts[-1] == "")
     return out
@@ -111,26 +127,67 @@ def _encode(path: str, version: str) -> Callable[[Iterator[pa.RecordBatch]], Ite
     return run
 
 
-def read_cache(spark, cache_path: str, version: str) -> DataFrame:
+def default_cache(spark: SparkSession, version: str) -> str:
+    """The cache of one tokenizer and this way of counting, in the folder that all machines share."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/token-counts/{version}-{METHOD}"
+
+
+def read_cache(spark: SparkSession, cache_path: str, version: str) -> DataFrame:
     """Stored counts of one tokenizer, one row per digest even if two runs appended the same one."""
     if not exists(spark, cache_path):
         return spark.createDataFrame([], CACHE).drop("tokenizer")
-    stored = spark.read.schema(CACHE).parquet(cache_path).where(F.col("tokenizer") == version)
-    return stored.groupBy("digest").agg(F.max("n_bytes").alias("n_bytes"), F.max("n_tokens").alias("n_tokens"))
+    rows = spark.read.schema(CACHE).option("recursiveFileLookup", "true").parquet(cache_path).where(F.col("tokenizer") == version)
+    return rows.groupBy("digest").agg(F.max("n_bytes").alias("n_bytes"), F.max("n_tokens").alias("n_tokens"))
+
+
+def append_to_cache(counts: DataFrame, cache_path: str) -> None:
+    """Add rows as a folder of their own."""
+    counts.write.parquet(f"{cache_path.rstrip('/')}/run-{uuid.uuid4().hex}")
+
+
+def compact(spark: SparkSession, cache_path: str, version: str) -> None:
+    """Rewrite what the cache holds of one tokenizer as one folder, then drop the folders it came from.
+
+    Runs may append meanwhile; a run that reads meanwhile may have to be repeated.
+    """
+    if not exists(spark, cache_path):
+        return
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(cache_path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = [s.getPath() for s in fs.listStatus(folder)]
+    rows = spark.read.schema(CACHE).parquet(*[p.toString() for p in old])
+    append_to_cache(rows.groupBy("tokenizer", "digest").agg(F.max("n_bytes").alias("n_bytes"), F.max("n_tokens").alias("n_tokens")), cache_path)
+    for path in old:
+        fs.delete(path, True)
+
+
+def hot_digests(rows: DataFrame) -> DataFrame:
+    """Digests of more than a thousandth of all rows (and over a thousand rows): fewer than a thousand of them."""
+    least = max(HOT_ROWS, rows.count() // HOT_SHARE)
+    return rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least).select("digest")
 
 
 def count_tokens(docs: DataFrame, model_path: str, cache_path: str | None = None, limit: int = 4096) -> DataFrame:
-    """``doc_id, n_bytes, n_tokens, over_limit`` of every row; ``cache_path`` is a Parquet folder that outlives the run."""
+    """``doc_id, n_bytes, n_tokens, over_limit`` of every row; ``cache_path`` is a folder that outlives the run."""
     spark = docs.sparkSession
     prepare(spark)
-    cache_path = cache_path or scratch_path(spark, "token-cache")
     version = tokenizer_digest(model_path)
+    cache_path = cache_path or default_cache(spark, version)
     keyed = texts(docs).withColumn("digest", F.unhex(F.sha2("text", 256)))
     unique = keyed.select("digest", "text").mapInArrow(_local_distinct, "digest binary, text string")
     known = read_cache(spark, cache_path, version).select("digest")
     misses = unique.join(known, "digest", "left_anti").repartition(shuffle_partitions(spark), "digest")
-    misses.mapInArrow(_encode(model_path, version), CACHE).write.mode("append").parquet(cache_path)
+    append_to_cache(misses.mapInArrow(_encode(model_path, version), CACHE), cache_path)
+    # From here on only digests and ids move, written once.
+    rows = stored(keyed.select("doc_id", "digest"), "digests")
     counts = read_cache(spark, cache_path, version)
-    return keyed.select("doc_id", "digest").join(counts, "digest").select(
-        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
+    hot = counts.join(F.broadcast(hot_digests(rows)), "digest").select(
+        F.col("digest").alias("hot"), F.col("n_bytes").alias("hot_bytes"), F.col("n_tokens").alias("hot_tokens")
     )
+    met = rows.join(F.broadcast(hot), F.col("digest") == F.col("hot"), "left")
+    by_id = F.unhex(F.md5(F.coalesce("doc_id", F.lit(0)).cast("string").cast("binary")))  # 16 bytes: equals no digest
+    spread = met.withColumn("digest", F.when(F.col("hot").isNull(), F.col("digest")).otherwise(by_id))
+    found = spread.join(counts, "digest", "left")
+    n_tokens = F.coalesce("hot_tokens", "n_tokens")
+    n_bytes = F.coalesce("hot_bytes", "n_bytes")
+    return found.select("doc_id", n_bytes.alias("n_bytes"), n_tokens.alias("n_tokens"), (n_tokens > limit).alias("over_limit"))
