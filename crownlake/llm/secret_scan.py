@@ -38,13 +38,17 @@ MOST_STRINGS = 64
 
 @dataclass(frozen=True)
 class Rule:
-    """``minimum``: characters that a match, or its group ``group``, must have; shorter matches are dropped."""
+    """``minimum``: characters that a match, or its group ``group``, must have; shorter matches are dropped.
+
+    ``begin``: the group at which the span starts (0: the whole match).
+    """
 
     kind: str
     pattern: str
     group: int = 0
     minimum: int = 0
     base: bool = False
+    begin: int = 0
 
 
 # The base kinds in their listed order, then formats of well-known credentials.
@@ -52,9 +56,10 @@ RULES = [
     Rule("assign", r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, True),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20, True),
     Rule("hex", r"[0-9a-f]+", 0, 24, True),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("url_login", r"[a-z][a-z0-9+.-]{1,15}://[^\s:/@]*+:[^\s:/@]{3,}+@"),
+    # From the first letter of a run of scheme characters; the run is walked once, however long it is.
+    Rule("url_login", r"(?<![a-z0-9+.-])[0-9+.-]*+([a-z][a-z0-9+.-]++)://[^\s:/@]*+:[^\s:/@]{3,}+@", begin=1),
     Rule("bearer", r"(?ai:authorization: ?bearer) [A-Za-z0-9._~+/-]{16,}"),
     Rule("hosting_token", r"gh[pousr]_[A-Za-z0-9]{36}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
@@ -193,7 +198,7 @@ class Scanner:
                     wholes[row] = batch[row].as_py()
                 for m in expression.finditer(wholes[row]):
                     if len(m[rule.group]) >= rule.minimum:
-                        out[row].append((*m.span(), number))
+                        out[row].append((m.start(rule.begin), m.end(), number))
         for found in out:
             found.sort(key=lambda s: (s[0], s[2]))
         return out

@@ -1,5 +1,6 @@
 """Operators that look at one document at a time, against brute force."""
 
+import random
 import re
 import zlib
 
@@ -54,7 +55,7 @@ def test_secrets_match_plain_scan(ready, awkward, empty):
     for i, text in enumerate(TEXTS):
         spans = []
         for n, rule in enumerate(secret_scan.RULES):
-            spans += [(m.start(), n, m.end()) for m in re.finditer(rule.pattern, text) if len(m[rule.group]) >= rule.minimum]
+            spans += [(m.start(rule.begin), n, m.end()) for m in re.finditer(rule.pattern, text) if len(m[rule.group]) >= rule.minimum]
         assert found[i] == ",".join(f"{secret_scan.RULES[n].kind}:{a}:{b}" for a, n, b in sorted(spans)), text[:80]
     assert any(found.values())
     assert secret_scan.find_secrets(awkward).count() == len(AWKWARD)
@@ -83,6 +84,21 @@ def test_personal_data_matches_plain_scan(ready, awkward, empty):
     assert pii.report(empty).count() == 0
 
 
+def test_language_filter_follows_its_model(ready):
+    """Null languages get the right prediction, so a constant in the model's place fails."""
+    words = {"en": "the of and that with", "de": "der und nicht mit ein", "fr": "les des une pour avec"}
+    rng = random.Random(8)
+    rows = []
+    for i in range(240):
+        lang = ["en", "de", "fr"][i % 3]
+        text = " ".join(rng.choice(words[lang].split()) for _ in range(40))
+        rows.append((i, text, lang if i % 2 else None, "a"))
+    rows += [(900, "1234 !!", "en", "a"), (901, None, "en", "a"), (902, "", None, "a")]
+    kept = {r.doc_id: r.lang for r in language_id.recognised(table(ready, rows), 120).collect()}
+    assert kept == {i: ["en", "de", "fr"][i % 3] for i in range(240)}
+    assert language_id.recognised(table(ready, rows), 120, confidence=1.1).count() == 0
+
+
 def test_packing_round_trip(ready, awkward, empty):
     from tokenizers import Tokenizer
 
@@ -155,12 +171,42 @@ def test_token_counts_equal_the_library_and_use_the_cache(ready, awkward, empty,
         got = {r.doc_id: r for r in token_counts.count_tokens(docs, path, cache).collect()}
         assert [got[i].n_tokens for i in range(len(got))] == [len(x) for x in model.encode(TEXTS + spaces)]
         assert all(got[i].n_bytes == len(t.encode()) for i, t in enumerate(TEXTS + spaces))
-    assert ready.read.parquet(cache).count() == len(set(TEXTS + spaces))
+    assert ready.read.option("recursiveFileLookup", "true").parquet(cache).count() == len(set(TEXTS + spaces))
     counted = token_counts.count_tokens(awkward, path, cache).collect()
     assert len(counted) == len(AWKWARD) and {r.n_tokens for r in counted if r.doc_id in (1, 2)} == {0}
     assert token_counts.count_tokens(empty, path, cache).count() == 0
 
 
+def test_token_counts_of_texts_that_hold_the_space_mark(ready):
+    import sentencepiece
+
+    path = tokenizer_path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = random.Random(3)
+    bits = ["▁", " ", "a", "b", "é", "word", "▁a", " ▁", "▁ ", "\n", "7"]
+    texts = ["a▁ ", "▁", " ▁ ", "▁▁ "] + ["".join(rng.choice(bits) for _ in range(rng.randrange(12))) for _ in range(20_000)]
+    assert token_counts.count_batch(path, pa.array(texts)).tolist() == [len(x) for x in model.encode(texts)]
+
+
+def test_half_counted_table_encodes_only_the_rest(ready, tmp_path, monkeypatch):
+    path, cache = tokenizer_path("piece_bpe_32k.model"), f"file://{tmp_path}/cache"
+    monkeypatch.setattr(token_counts, "HOT_ROWS", 5)
+    rows = [(i, f"text {i % 40} " + "x " * (i % 7)) for i in range(400)] + [(1000 + i, "one very common text") for i in range(300)]
+    half, docs = table(ready, rows[:200]), table(ready, rows)
+    token_counts.count_tokens(half, path, cache).count()
+    before = ready.read.option("recursiveFileLookup", "true").parquet(cache).count()
+    got = {r.doc_id: (r.n_bytes, r.n_tokens) for r in token_counts.count_tokens(docs, path, cache).collect()}
+    stored = ready.read.option("recursiveFileLookup", "true").parquet(cache)
+    assert before == len({t for _, t in rows[:200]}) and stored.count() == len({t for _, t in rows})
+    counts = token_counts.count_batch(path, pa.array([t for _, t in rows])).tolist()
+    assert got == {i: (len(t), n) for (i, t), n in zip(rows, counts)}
+    version = token_counts.tokenizer_digest(path)
+    token_counts.append_to_cache(ready.read.option("recursiveFileLookup", "true").schema(token_counts.CACHE).parquet(cache), cache)  # a second run at once
+    token_counts.compact(ready, cache, version)
+    assert ready.read.option("recursiveFileLookup", "true").parquet(cache).count() == len({t for _, t in rows})
+    assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in token_counts.count_tokens(docs, path, cache).collect()} == got
+
+
 def iban_brute(text):
     """From each word that can begin one: of the beginnings that pass mod-97, the one of its country's length, else the longest."""
     out = []
@@ -216,7 +262,9 @@ def test_texts_with_letters_pass_without_a_model(ready):
 def test_logins_with_long_or_no_names(ready):
     long = "eyJ" + "a1._-" * 400
     rows = [(1, f"see https://user:{long}@host/x"), (2, "redis://:secret1@host:6379"), (3, f"ftp://{'u' * 65}:abc@h"), (4, "http://u:ab@h http://host:80/a@b")]
+    rows += [(6, "9+postgresql+asyncpg.with.a.long.scheme.name://u:secret@h"), (7, "x" * 500_000), (8, "-----BEGIN " + "VERY " * 20 + "PRIVATE KEY-----")]
     rows += [(5, "ab://" + "x" * 300_000 + " " + "cd://u:" + "y" * 300_000)]
     found = {r.doc_id: r.spans for r in secret_scan.find_secrets(table(ready, rows)).collect()}
     logins = {i: [s for s in spans.split(",") if s.startswith("url_login")] for i, spans in found.items()}
-    assert logins == {1: [f"url_login:4:{rows[0][1].index('@') + 1}"], 2: ["url_login:0:17"], 3: ["url_login:0:76"], 4: [], 5: []}
+    assert logins == {1: [f"url_login:4:{rows[0][1].index('@') + 1}"], 2: ["url_login:0:17"], 3: ["url_login:0:76"], 4: [], 5: [], 6: ["url_login:2:56"], 7: [], 8: []}
+    assert found[8] == f"private_key:0:{len(rows[6][1])}"
