@@ -31,6 +31,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--auto-size", action=argparse.BooleanOptionalAction, default=True,
                    help="size shuffle partitions and scan splits from the bytes under the raw folder (default)")
     p.add_argument("--multi-line", action="store_true", help="raw files each hold one JSON array of records")
+    p.add_argument("--last-pull", action="store_true", help="of several pulls of a player on a day read the last one only")
     s = sub.add_parser("stream", help="one availableNow run of the raw streams into silver and gold")
     s.add_argument("--root", required=True)
     args = parser.parse_args(argv)
@@ -45,7 +46,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "pipeline":
         audit = run_pipeline(spark, args.root, database=args.database, days=args.day or None,
                              incremental=args.incremental, run_date=args.run_date,
-                             multi_line=args.multi_line)
+                             multi_line=args.multi_line, last_pull=args.last_pull)
         for row in audit.collect():
             print(f"{row.stage}\t{row.rows}")
     else:

@@ -24,6 +24,7 @@ from crownlake.session import scratch_path
 from crownlake.sources import fixtures as FX
 from crownlake.sources import raw as R
 from crownlake.sources import sinks as K
+from crownlake.sources.landing import land_pulls
 from crownlake.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +103,23 @@ def q_bronze_profiles(spark: SparkSession, sf: str) -> DataFrame:
     return normalize_profiles(R.read_raw_profiles(spark, path)).select(*BRONZE_PROFILE.names, "ingestion_date")
 
 
+def q_landing_last_pull(spark: SparkSession, sf: str) -> DataFrame:
+    """One log per nation and year; even nations were pulled again, when their log held only the year's second half.
+
+    The second pull replaces the first one of the same tag and day.
+    """
+    base = scratch_path(spark, "pulls")
+    customers = read_table(spark, sf, "customer", "c_custkey", "c_nationkey")
+    items = R.raw_battle_items(spark, sf, keys=("o_custkey", "o_orderdate")).join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    items = items.withColumn("player_tag", F.concat(F.lit("N"), "c_nationkey"))
+    keys = ["o_custkey", "o_orderdate", "c_custkey", "c_nationkey"]
+    land_pulls(items.drop(*keys), base, "06-00")
+    again = (F.col("c_nationkey") % 2 == 0) & (F.month("o_orderdate") >= 7)
+    land_pulls(items.where(again).drop(*keys), base, "18-00")
+    kept, _rejects = normalize_battles(R.read_raw_battles(spark, base, last_pull=True))
+    return kept.select(*BRONZE_BATTLES.names, "ingestion_date")
+
+
 def _broken_items(spark: SparkSession, sf: str) -> DataFrame:
     """Raw battle items, those of some priorities and states without their time, team or opponent."""
     items = R.raw_battle_items(spark, sf, keys=("o_orderkey",)).join(
@@ -320,6 +338,7 @@ def io_queries() -> dict[str, Query]:
         "bronze_multiline_battles": q_bronze_multiline_battles,
         "bronze_multiline_profiles": q_bronze_multiline_profiles,
         "bronze_battles": q_bronze_battles,
+        "landing_last_pull": q_landing_last_pull,
         "bronze_battles_text": q_bronze_battles_text,
         "bronze_profiles": q_bronze_profiles,
         "stream_ingest_available_now": q_stream_ingest_available_now,
