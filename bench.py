@@ -51,7 +51,7 @@ def main() -> None:
     from crownlake.operators import analytics as A
     from crownlake.operators import gold as G
     from crownlake.plans import registry
-    from crownlake.plans.pipeline import Lake, build_from_bronze
+    from crownlake.plans.pipeline import PLAYER_STREAKS, Lake, build_from_bronze, read_gold
     from crownlake.sources import fixtures as FX
 
     def run(df) -> float:
@@ -83,15 +83,15 @@ def main() -> None:
 
     lake = Lake(lake_root)
     silver = spark.read.parquet(lake.silver_battles)
-    fact = spark.read.parquet(lake.gold("fact_battles"))
+    fact = read_gold(spark, lake, "fact_battles")
     profiles = spark.read.parquet(lake.silver_profiles)
     # Default plans over the stored tables (what the saved queries and the
     # dashboard run).
     stored = {
         "deck_leaderboard": A.deck_leaderboard(fact),
         "card_leaderboard": A.card_leaderboard(silver),
-        "streak_leaderboard": A.streak_leaderboard(fact),
-        "longest_streaks": A.longest_streaks(fact),
+        "streak_leaderboard": A.top_streaks(read_gold(spark, lake, PLAYER_STREAKS)),
+        "longest_streaks": A.longest_of(read_gold(spark, lake, PLAYER_STREAKS)),
         "dim_player": G.dim_player(profiles),
         "deck_with_cards": A.deck_with_cards(fact, silver, literal=True),
         "elixir_by_outcome": A.elixir_by_outcome(silver),
@@ -104,8 +104,9 @@ def main() -> None:
     # Literal / alternative forms, for comparison only (not in the total).
     alternatives = {
         "card_leaderboard_distinct": A.card_leaderboard(silver, unique_battles=False),
+        "streak_leaderboard_from_fact": A.streak_leaderboard(fact),
         "streak_leaderboard_window": A.streak_leaderboard(fact, units=()),
-        "dim_player_window": registry.dim_player_by_time(profiles),
+        "dim_player_window": G.dim_player_window(profiles),
     }
     baselines = {f"stored_{name}": run(df) for name, df in alternatives.items()}
 

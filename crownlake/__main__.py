@@ -34,6 +34,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--last-pull", action="store_true", help="of several pulls of a player on a day read the last one only")
     s = sub.add_parser("stream", help="one availableNow run of the raw streams into silver and gold")
     s.add_argument("--root", required=True)
+    s.add_argument("--database", default=None, help="point this database's tables at what the run published")
     args = parser.parse_args(argv)
 
     from crownlake.plans.pipeline import Lake, run_pipeline
@@ -50,7 +51,7 @@ def main(argv: list[str] | None = None) -> int:
         for row in audit.collect():
             print(f"{row.stage}\t{row.rows}")
     else:
-        from crownlake.plans.pipeline import path_exists
+        from crownlake.plans.pipeline import path_exists, register_all
         from crownlake.streaming.ingest import BATTLES, PROFILES, run_available_now
 
         lake, base = Lake(args.root), args.root.rstrip("/")
@@ -59,6 +60,8 @@ def main(argv: list[str] | None = None) -> int:
             if path_exists(spark, raw):
                 run_available_now(spark, raw, silver, f"{base}/_checkpoints/{feed.name}", lake=lake, feed=feed,
                                   rejects_path=f"{base}/bronze/_rejects/{feed.name}")
+        if args.database:
+            register_all(spark, lake, args.database)
     return 0
 
 

@@ -117,14 +117,24 @@ def top_cards(battles: DataFrame, k: int | None = 10, unique_battles: bool = Tru
 
 def streak_leaderboard(fact: DataFrame, k: int | None = 20, units: Sequence[str] = DEFAULT_UNITS) -> DataFrame:
     """Longest streak and number of streaks per player and result, top k."""
-    out = streak_summary(fact, units=units).select("player_tag", "streak_type", "longest_streak", "num_streaks")
+    return top_streaks(streak_summary(fact, units=units), k)
+
+
+def top_streaks(summary: DataFrame, k: int | None = 20) -> DataFrame:
+    """C15 from streaks per player and result, computed or stored."""
+    out = summary.select("player_tag", "streak_type", "longest_streak", "num_streaks")
     return top_k(out, [F.col("longest_streak").desc_nulls_last(), F.col("player_tag").asc_nulls_last(),
                        F.col("streak_type").asc_nulls_last()], k)
 
 
 def longest_streaks(fact: DataFrame, units: Sequence[str] = DEFAULT_UNITS) -> DataFrame:
     """Longest streak per result over all players."""
-    out = streak_summary(fact, units=units).groupBy("streak_type").agg(F.max("longest_streak").alias("longest_streak"))
+    return longest_of(streak_summary(fact, units=units))
+
+
+def longest_of(summary: DataFrame) -> DataFrame:
+    """C24 from streaks per player and result, computed or stored."""
+    out = summary.groupBy("streak_type").agg(F.max("longest_streak").alias("longest_streak"))
     return out.orderBy(F.col("longest_streak").desc_nulls_last(), F.col("streak_type").asc_nulls_last())
 
 

@@ -26,6 +26,19 @@ def dim_player(profiles: DataFrame) -> DataFrame:
     return latest.select(*DIM_PLAYER_COLUMNS)
 
 
+def dim_player_window(profiles: DataFrame) -> DataFrame:
+    """C5 as the original states it: row number 1 by newest time.
+
+    The filter on the row number becomes a group limit before the exchange, which keeps one row
+    per player and map task, so a player with a huge history is not gathered. Null times come
+    last, and equal times are settled by the other columns, as in ``dim_player``.
+    """
+    rest = [c for c in DIM_PLAYER_COLUMNS if c not in ("player_tag", "snapshot_at")]
+    newest = Window.partitionBy("player_tag").orderBy(*[F.col(c).desc_nulls_last() for c in ["snapshot_at", *rest]])
+    numbered = profiles.select(*DIM_PLAYER_COLUMNS, F.row_number().over(newest).alias("_place"))
+    return numbered.where(F.col("_place") == 1).drop("_place")
+
+
 def dim_card(battles: DataFrame) -> DataFrame:
     """Distinct card names over both decks (one scan, no union)."""
     both = F.concat(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +17,18 @@ from pyspark.sql import functions as F
 from crownlake.functions import columns as X
 from crownlake.operators import analytics as A
 from crownlake.operators import gold as G
+from crownlake.operators import sketches as SK
 from crownlake.operators.bronze import normalize_battles, normalize_battles_all, normalize_profiles
 from crownlake.operators.coerce import coerce_result, stringify
 from crownlake.operators.silver import silver_battles, silver_profiles
-from crownlake.schemas import BRONZE_BATTLES, BRONZE_PROFILE
+from crownlake.operators.streaks import segments
+from crownlake.plans import gold_state as GS
+from crownlake.schemas import BRONZE_BATTLES, BRONZE_PROFILE, SILVER_BATTLE_COLUMNS
 from crownlake.session import scratch_path
 from crownlake.sources import fixtures as FX
 from crownlake.sources import raw as R
 from crownlake.sources import sinks as K
+from crownlake.sources.drift import schema_drift
 from crownlake.sources.landing import land_pulls
 from crownlake.sources.tables import read_table
 
@@ -61,13 +66,6 @@ def q_deck_with_cards_repaired(spark: SparkSession, sf: str) -> DataFrame:
     return A.deck_with_cards(G.fact_battles(b), b, literal=False)
 
 
-def dim_player_by_time(profiles: DataFrame) -> DataFrame:
-    """C5 from the newest time of each player, joined back; equal newest times leave one row, as does a player without times."""
-    newest = profiles.groupBy("player_tag").agg(F.max("snapshot_at").alias("snapshot_at"))
-    same = F.col("p.player_tag").eqNullSafe(F.col("n.player_tag")) & F.col("p.snapshot_at").eqNullSafe(F.col("n.snapshot_at"))
-    return G.dim_player(profiles.alias("p").join(newest.alias("n"), same, "left_semi"))
-
-
 def q_parse_deck(spark: SparkSession, sf: str) -> DataFrame:
     """decks rendered as result text and parsed back."""
     b = _battles(spark, sf).select("battle_id", X.render_deck("player_deck").alias("deck_text"))
@@ -214,11 +212,7 @@ def q_stream_profiles_available_now(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_stream_dedup_late(spark: SparkSession, sf: str) -> DataFrame:
-    """R2: the newer half lands and is streamed first, then the older half: no battle is lost or doubled.
-
-    Which copy of a repeated battle stays depends on the landing order, so only
-    the columns that every copy shares are returned.
-    """
+    """R2: the newer half lands and is streamed first, then the older half: no battle is lost or doubled."""
     from crownlake.streaming.ingest import run_available_now
 
     base = scratch_path(spark, "stream-late")
@@ -229,12 +223,28 @@ def q_stream_dedup_late(spark: SparkSession, sf: str) -> DataFrame:
     for wave in (newer, ~newer):
         R.land_json(items.where(wave), raw, mode="append")
         run_available_now(spark, raw, silver, ckpt)
-    return spark.read.parquet(silver).select("battle_id", "player_tag", "battle_time")
+    return spark.read.parquet(silver).select(*SILVER_BATTLE_COLUMNS)
+
+
+def q_stream_watermark_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """R2: the newer half, then its last year once more with the year before the half, then everything again: state and late lane."""
+    from crownlake.streaming.dedup import run_deduplicated
+
+    base = scratch_path(spark, "stream-watermark")
+    raw, silver, ckpt = f"{base}/raw", f"{base}/silver", f"{base}/checkpoint"
+    items = R.raw_battle_items(spark, sf)
+    day = F.unix_date("ingestion_date")
+    split, last = items.agg(F.percentile_approx(day, 0.5).alias("d"), F.max(day).alias("m")).first()
+    for wave in (day > split, (day == last) | (day == split), F.lit(True)):
+        R.land_json(items.where(wave), raw, mode="append")
+        run_deduplicated(spark, raw, silver, ckpt, delay="400 days")
+    return spark.read.parquet(silver).select(*SILVER_BATTLE_COLUMNS)
 
 
 def q_pipeline_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    """All days but the last in a full run, the last one twice as an incremental run; values of two gold tables."""
-    from crownlake.plans.pipeline import Lake, run_pipeline
+    """All days but the last in a full run, the last one twice as an incremental run; all published gold tables."""
+    from crownlake.plans import publish
+    from crownlake.plans.pipeline import Lake, read_gold, run_pipeline
 
     lake = Lake(scratch_path(spark, "lake"))
     items, profiles = R.raw_battle_items(spark, sf), R.raw_profiles(spark, sf)
@@ -246,12 +256,74 @@ def q_pipeline_incremental(spark: SparkSession, sf: str) -> DataFrame:
     R.land_json(items.where(F.col("ingestion_date") == last), lake.raw_battles, mode="append")
     for _ in range(2):
         run_pipeline(spark, lake.root, database, days=[last], incremental=True)
-    decks = spark.read.parquet(lake.gold("dim_deck")).select(
-        F.lit("deck").alias("table"), F.lit(None).cast("string").alias("player_tag"), F.col("deck_hash").alias("key"),
-        F.col("total_battles").alias("battles"), "wins")
-    cards = spark.read.parquet(lake.gold("metrics_win_rate_by_card")).select(
-        F.lit("card"), "player_tag", "card_name", F.col("appearances"), "wins")
-    return decks.unionAll(cards)
+    version = publish.current(spark, lake.curated)
+    tables = [read_gold(spark, lake, n, version).select(F.lit(n).alias("table"), "*") for n in G.GOLD_TABLE_NAMES]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
+def q_player_streaks_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """W5/C15/C24 as stored state: segments of the newer days, then of the older ones, joined to streaks of all players."""
+    path, fact_path = scratch_path(spark, "segments"), scratch_path(spark, "fact-battles")
+    K.write_parquet(_fact(spark, sf), fact_path, ["ingestion_date"], partition_overwrite="static")
+    fact = spark.read.parquet(fact_path)
+    day = F.unix_date("ingestion_date")
+    split = fact.agg(F.percentile_approx(day, 0.5).alias("d")).first()["d"]
+    for part in (day > split, day <= split):
+        K.write_parquet(segments(fact.where(part), "ingestion_date"), path, ["ingestion_date"], "append")
+    return GS.player_streaks(spark.read.parquet(path), fact)
+
+
+def q_players_to_date(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct players up to each day, exactly; ``close``: the union of the days' sketches is within three deviations."""
+    path = scratch_path(spark, "sketches")
+    profiles = _profiles(spark, sf)
+    K.write_parquet(SK.player_sketches(profiles), path, ["ingestion_date"], partition_overwrite="static")
+    both = SK.exact_players_to_date(profiles).join(SK.players_to_date(spark.read.parquet(path)), "ingestion_date")
+    off = F.abs(F.col("estimate") - F.col("players"))
+    return both.select("ingestion_date", "players", (off <= 3 * SK.DEVIATION * F.col("players")).alias("close"))
+
+
+def q_schema_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """In the last year's landing a field is new, one has gone, and the crowns came as text."""
+    path = scratch_path(spark, "drifted")
+    items = R.raw_battle_items(spark, sf)
+    last = items.agg(F.max("ingestion_date").alias("d")).first()["d"]
+    R.land_json(items.where(F.col("ingestion_date") < last), path)
+    as_text = F.transform("team", lambda t: t.withField("crowns", t["crowns"].cast("string")))
+    drifted = items.where(F.col("ingestion_date") == last).withColumns({"team": as_text, "arena": F.struct(F.lit(1).alias("id"))})
+    R.land_json(drifted.drop("type"), path, mode="append")
+    return schema_drift(spark, path, R.RAW_BATTLE_LANDED)
+
+
+def q_sorted_write(spark: SparkSession, sf: str) -> DataFrame:
+    """The weekly trophies written sorted and read back, each row checked against the order of rows and files."""
+    path = scratch_path(spark, "sorted")
+    by = ["player_tag", "week"]
+    K.write_sorted(G.trophy_evolution(_battles(spark, sf)), path, by)
+    return K.checked_order(spark, path, by)
+
+
+def q_partition_sync(spark: SparkSession, sf: str) -> DataFrame:
+    """A registered table after its first day's folder was removed and its last day's was added."""
+    path = scratch_path(spark, "fact-days")
+    fact = _fact(spark, sf)
+    first, last = fact.agg(F.min("ingestion_date"), F.max("ingestion_date")).first()
+    K.write_parquet(fact.where(F.col("ingestion_date") < F.lit(last)), path, ["ingestion_date"], partition_overwrite="static")
+    name = "fact_days_" + path.rstrip("/").rsplit("-", 1)[-1]
+    table = K.register_table(spark, "crownlake_check", name, path, K.ddl_of(spark.read.parquet(path)), ["ingestion_date"])
+    K.sync_partitions(spark, table, path)
+    K.write_parquet(fact.where(F.col("ingestion_date") == F.lit(last)), path, ["ingestion_date"], "append")
+    K.remove_folder(spark, f"{path}/ingestion_date={first}")
+    K.sync_partitions(spark, table, path)
+    return spark.table(table)
+
+
+def q_databases(spark: SparkSession, sf: str) -> DataFrame:
+    """A database per region, listed."""
+    regions = read_table(spark, sf, "region", "r_name")
+    for row in regions.select(F.lower("r_name").alias("n")).collect():  # a handful of regions
+        K.ensure_database(spark, f"crownlake_region_{row.n}".replace(" ", "_"))
+    return spark.sql("SHOW DATABASES LIKE 'crownlake_region_*'").select(F.col("namespace").alias("database"))
 
 
 def q_parquet_roundtrip_partitioned(spark: SparkSession, sf: str) -> DataFrame:
@@ -292,7 +364,7 @@ def core_queries() -> dict[str, Query]:
         "silver_profiles_run_time": lambda s, sf: silver_profiles(FX.bronze_profiles(s, sf), run_ts=RUN_CLOCK),
         # gold (C5-C12)
         "dim_player": lambda s, sf: G.dim_player(_profiles(s, sf)),
-        "dim_player_window": lambda s, sf: dim_player_by_time(_profiles(s, sf)),
+        "dim_player_window": lambda s, sf: G.dim_player_window(_profiles(s, sf)),
         "dim_card": lambda s, sf: G.dim_card(_battles(s, sf)),
         "dim_card_union": lambda s, sf: G.dim_card_union(_battles(s, sf)),
         "dim_deck": lambda s, sf: G.dim_deck(_battles(s, sf)),
@@ -343,12 +415,19 @@ def io_queries() -> dict[str, Query]:
         "bronze_profiles": q_bronze_profiles,
         "stream_ingest_available_now": q_stream_ingest_available_now,
         "stream_dedup_late": q_stream_dedup_late,
+        "stream_watermark_dedup": q_stream_watermark_dedup,
         "stream_profiles_available_now": q_stream_profiles_available_now,
         "stream_rejects": q_stream_rejects,
         "pipeline_incremental": q_pipeline_incremental,
         "parquet_roundtrip_partitioned": q_parquet_roundtrip_partitioned,
         "table_register_repair": q_table_register_repair,
         "row_audit": q_row_audit,
+        "player_streaks_stored": q_player_streaks_stored,
+        "players_to_date": q_players_to_date,
+        "schema_drift": q_schema_drift,
+        "sorted_write": q_sorted_write,
+        "partition_sync": q_partition_sync,
+        "databases": q_databases,
     }
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -54,6 +54,27 @@ def write_parquet(
     return dict(obs.get) if obs is not None else {}
 
 
+def write_sorted(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Files that each hold one range of ``by``, in order, and whose names follow the ranges."""
+    df.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
+
+
+def checked_order(spark: SparkSession, path: str, by: Sequence[str]) -> DataFrame:
+    """The rows of a table with ``in_order``: not before the row ahead of it in its file, nor before any file ahead of its own.
+
+    A file is one window: as much as the task that wrote it held.
+    """
+    key = F.struct(*by)
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = rows.groupBy("_file").agg(F.max(key).alias("_most"))
+    ahead = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    limits = files.select("_file", F.max("_most").over(ahead).alias("_limit"))
+    within = F.lag(key).over(Window.partitionBy("_file").orderBy("_row"))
+    checked = rows.withColumn("_before", within).join(limits, "_file")
+    fine = (F.col("_before").isNull() | (F.col("_before") <= key)) & (F.col("_limit").isNull() | (F.col("_limit") <= key))
+    return checked.withColumn("in_order", fine).drop("_file", "_row", "_before", "_limit")
+
+
 def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = ("ingestion_date",),
                mode: str = "overwrite", audit: str | None = None,
                metrics: dict[str, F.Column] | None = None) -> dict:
@@ -108,6 +129,50 @@ def add_partitions(spark: SparkSession, qualified: str, column: str, values: Seq
         spark.sql(f"ALTER TABLE {qualified} ADD IF NOT EXISTS {specs}")
 
 
+def catalogue_partitions(spark: SparkSession, qualified: str) -> set[str]:
+    """Partition folder names (``day=…``) that the catalogue knows; one row per landing day."""
+    return {row.partition for row in spark.sql(f"SHOW PARTITIONS {qualified}").collect()}
+
+
+def _spec(part: str) -> str:
+    key, value = part.split("=", 1)
+    return f"PARTITION (`{key}` = '{value}')"
+
+
+def _alter_partitions(spark: SparkSession, qualified: str, add: dict[str, str], drop: set[str]) -> None:
+    if add:
+        spark.sql(f"ALTER TABLE {qualified} ADD IF NOT EXISTS " + " ".join(f"{_spec(p)} LOCATION '{at}'" for p, at in sorted(add.items())))
+    if drop:
+        spark.sql(f"ALTER TABLE {qualified} DROP IF EXISTS " + ", ".join(_spec(p) for p in sorted(drop)))
+
+
+def point_partitions(spark: SparkSession, qualified: str, places: dict[str, str], whole: bool) -> None:
+    """Point partitions at ``places`` (folder name -> location); with ``whole`` the table has no others."""
+    have = catalogue_partitions(spark, qualified)
+    _alter_partitions(spark, qualified, {p: at for p, at in places.items() if p not in have}, have - set(places) if whole else set())
+    for part in have & set(places):
+        spark.sql(f"ALTER TABLE {qualified} {_spec(part)} SET LOCATION '{places[part]}'")
+
+
+def sync_partitions(spark: SparkSession, qualified: str, path: str) -> tuple[list[str], list[str]]:
+    """S10, both ways: partition folders that the catalogue lacks are added, partitions without a folder dropped.
+
+    Returns both lists. Unlike a plain repair, a day whose folder was removed goes from the catalogue too.
+    """
+    from crownlake.plans.publish import children
+
+    have = catalogue_partitions(spark, qualified)
+    found = {c for c in children(spark, path) if "=" in c}
+    _alter_partitions(spark, qualified, {c: f"{path.rstrip('/')}/{c}" for c in found - have}, have - found)
+    return sorted(found - have), sorted(have - found)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what it holds, on any Hadoop filesystem."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def list_databases(spark: SparkSession) -> list[str]:
     """``SHOW DATABASES``."""
     return [d.name for d in spark.catalog.listDatabases()]

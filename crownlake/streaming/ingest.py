@@ -17,7 +17,8 @@ file rewritten in place is not read again.
 
 R2 — overlapping logs: the same merge deduplicates. Its memory is silver itself,
 so a battle is recognised however late a repeat arrives, and history that lands
-after newer days is kept (a watermark would drop it).
+after newer days is kept. ``streaming.dedup`` keeps recent battles as state under a
+watermark instead, and merges only what comes later than that.
 """
 
 from __future__ import annotations
@@ -87,12 +88,17 @@ def merge_batch(batch: DataFrame, feed: Feed, silver_path: str, lake=None, rejec
     silver. A batch without a new row writes nothing. A lake without partials
     only gets the silver append (the first full pipeline run computes them).
     """
-    from crownlake.plans.pipeline import path_exists, silver_to_gold
-
-    spark = batch.sparkSession
     rows, rejects = feed.build(batch)
     if rejects is not None and rejects_path is not None:
         rejects.write.mode("overwrite").parquet(f"{rejects_path.rstrip('/')}/epoch={epoch}")
+    append_unseen(rows, feed, silver_path, lake)
+
+
+def append_unseen(rows: DataFrame, feed: Feed, silver_path: str, lake=None) -> None:
+    """Append the silver ``rows`` whose keys silver does not hold; with a lake that has partials, update gold first."""
+    from crownlake.plans.pipeline import path_exists, silver_to_gold
+
+    spark = rows.sparkSession
     fresh = _staged(rows, f"batch-{feed.name}")
     if path_exists(spark, silver_path):
         stored = spark.read.schema(rows.schema).parquet(silver_path)

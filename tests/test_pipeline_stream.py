@@ -9,7 +9,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from crownlake.plans.pipeline import Lake, run_pipeline
+from crownlake.plans.pipeline import Lake, read_gold, run_pipeline
 from crownlake.sources import raw as R
 from crownlake.streaming.ingest import run_available_now
 
@@ -75,7 +75,7 @@ def test_incremental_equals_one_batch_and_is_idempotent(spark, tmp_dir):
     # gold merged from state equals gold rebuilt from all of silver
     from crownlake.operators.gold import GOLD_TABLE_NAMES
     for name in GOLD_TABLE_NAMES:
-        inc_t, full_t = spark.read.parquet(inc.gold(name)), spark.read.parquet(full.gold(name))
+        inc_t, full_t = read_gold(spark, inc, name), read_gold(spark, full, name)
         cols = sorted(full_t.columns)
         assert as_set(inc_t, *cols) == as_set(full_t, *cols), name
 
@@ -161,11 +161,11 @@ def test_run_stopped_after_any_write_can_be_repeated(spark, tmp_dir, monkeypatch
         with pytest.raises(RuntimeError):
             run_pipeline(spark, lake.root, database="t_stopped", days=second, incremental=True)
     run_pipeline(spark, lake.root, database="t_stopped", days=second, incremental=True)
-    got = {n: as_set(spark.read.parquet(lake.gold(n))) for n in GOLD_TABLE_NAMES}
-    assert spark.read.parquet(lake.gold("dim_deck")).selectExpr("sum(total_battles)").first()[0] == 3
+    got = {n: as_set(read_gold(spark, lake, n)) for n in GOLD_TABLE_NAMES}
+    assert read_gold(spark, lake, "dim_deck").selectExpr("sum(total_battles)").first()[0] == 3
     run_pipeline(spark, lake.root, database="t_stopped")
     for name, rows in got.items():
-        assert rows == as_set(spark.read.parquet(lake.gold(name))), name
+        assert rows == as_set(read_gold(spark, lake, name)), name
 
 
 def test_rejects_land_in_bronze_with_reason_in_one_pass(spark, tmp_dir):
@@ -205,7 +205,7 @@ def test_stream_into_lake_keeps_gold_state_complete(spark, tmp_dir):
     run_pipeline(spark, full.root, database="t_mixed_full")
     assert as_set(spark.read.parquet(lake.silver_battles)) == as_set(spark.read.parquet(full.silver_battles))
     for name in GOLD_TABLE_NAMES:
-        a, b = spark.read.parquet(lake.gold(name)), spark.read.parquet(full.gold(name))
+        a, b = read_gold(spark, lake, name), read_gold(spark, full, name)
         cols = sorted(b.columns)
         assert as_set(a, *cols) == as_set(b, *cols), name
 
