@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -47,6 +48,8 @@ RANGES = 64
 COUNT_SLOTS, COUNT_SLICES = 1 << 18, 16
 FAN_IN = 64
 SLICE_BYTES = 1 << 20
+# Different sets with one class key are named by the rest of their digest, up to this many keys.
+MOST_CLASHES = 10_000
 NULL_KEY = -(1 << 63)
 
 SETS = "doc_id bigint, class bigint, digest binary, n_shingles bigint, profile array<smallint>"
@@ -124,11 +127,19 @@ def digest_of(grams: np.ndarray) -> bytes:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
 
 
-def class_of(digest: bytes) -> int:
-    return int.from_bytes(digest[:8], "little", signed=True)
+@dataclass(frozen=True)
+class Keys:
+    """Class keys of sets: the first ``bits`` of a digest, but for digests that share them with another: ``renamed``."""
 
+    bits: int = 64
+    renamed: dict[bytes, int] = field(default_factory=dict)
 
-def _describe(n: int) -> Callable:
+    def of(self, digest: bytes) -> int:
+        known = self.renamed.get(digest)
+        return int.from_bytes(digest[:8], "little", signed=True) >> (64 - self.bits) if known is None else known
+
+
+def _describe(n: int, keys: Keys) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests, sizes, profiles = [], [], []
@@ -139,7 +150,7 @@ def _describe(n: int) -> Callable:
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
-                    "class": pa.array([class_of(d) for d in digests], pa.int64()),
+                    "class": pa.array([keys.of(d) for d in digests], pa.int64()),
                     "digest": pa.array(digests, pa.binary()),
                     "n_shingles": pa.array(sizes, pa.int64()),
                     "profile": pa.array(profiles, pa.list_(pa.int16())),
@@ -192,7 +203,7 @@ def gram_counts(docs: DataFrame, n: int) -> np.ndarray:
     return np.minimum(out.ravel(), (1 << 31) - 1).astype(np.int32)
 
 
-def _post(n: int, percent: int, sent) -> Callable:
+def _post(n: int, percent: int, sent, keys: Keys) -> Callable:
     """Prefixes of the classes that a task meets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,7 +211,7 @@ def _post(n: int, percent: int, sent) -> Callable:
         for batch in batches:
             out: list[tuple[np.ndarray, int, int]] = []
             for grams in _sets_of(batch.column("text"), n):
-                own = class_of(digest_of(grams)) if len(grams) else None
+                own = keys.of(digest_of(grams)) if len(grams) else None
                 if own is None or own in seen:
                     continue
                 seen.add(own)
@@ -222,12 +233,12 @@ def _post(n: int, percent: int, sent) -> Callable:
     return run
 
 
-def _whole(n: int) -> Callable:
+def _whole(n: int, keys: Keys) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = list(_sets_of(batch.column("text"), n))
             yield pa.RecordBatch.from_pydict(
-                {"class": pa.array([class_of(digest_of(g)) for g in sets], pa.int64()), "grams": pa.array([g.tobytes() for g in sets], pa.binary())}
+                {"class": pa.array([keys.of(digest_of(g)) for g in sets], pa.int64()), "grams": pa.array([g.tobytes() for g in sets], pa.binary())}
             )
 
     return run
@@ -254,20 +265,45 @@ def _overlap(percent: int, x: Column, y: Column) -> Column:
 class _Join:
     """The steps of one join; tables that two steps need are stored."""
 
-    def __init__(self, docs: DataFrame, n: int, percent: int) -> None:
-        self.plain, self.n, self.percent = texts(docs), n, percent
+    def __init__(self, docs: DataFrame, n: int, percent: int, key_bits: int = 64) -> None:
+        self.plain, self.n, self.percent, self.keys = texts(docs), n, percent, Keys(key_bits)
         prepare(docs.sparkSession)
-        self.sets = stored(self.plain.mapInArrow(_describe(n), SETS), "ngram-sets")
-        same = F.when(F.min("digest") == F.max("digest"), F.lit(True)).otherwise(F.raise_error(F.lit("two sets have one class key")))
+        self.sets = stored(self.plain.mapInArrow(_describe(n, self.keys), SETS), "ngram-sets")
+        self.classes = self._classes()
+        while clashes := [r["class"] for r in self.classes.where("clash").select("class").limit(MOST_CLASHES + 1).collect()]:
+            self._rename(clashes)
+            self.classes = self._classes()
+        self.classes = self.classes.drop("clash")
+
+    def _classes(self) -> DataFrame:
         least = F.min(F.coalesce("doc_id", F.lit(NULL_KEY)))
-        classes = self.sets.where("n_shingles > 0").groupBy("class").agg(least.alias("first"), F.first("profile").alias("profile"), same.alias("same"))
-        self.classes = stored(classes.where("same").drop("same"), "ngram-classes")
+        clash = F.min("digest") != F.max("digest")
+        classes = self.sets.where("n_shingles > 0").groupBy("class").agg(least.alias("first"), F.first("profile").alias("profile"), clash.alias("clash"))
+        return stored(classes, "ngram-classes")
+
+    def _rename(self, clashes: list[int]) -> None:
+        """Of different sets with one class key, all but one get a key from the rest of their digest.
+
+        Expected are n^2 / 2^65 such pairs among n sets: some seventy among 5 * 10^10.
+        """
+        if len(clashes) > MOST_CLASHES:
+            raise ValueError(f"over {MOST_CLASHES} class keys stand for different sets")
+        spark = self.plain.sparkSession
+        asked = F.broadcast(spark.createDataFrame([(c,) for c in clashes], "class bigint"))
+        twins: dict[int, list[bytes]] = {}
+        for r in self.sets.where("n_shingles > 0").join(asked, "class", "left_semi").select("class", "digest").distinct().collect():
+            twins.setdefault(r["class"], []).append(bytes(r["digest"]))
+        fresh = {d: int.from_bytes(d[8:], "little", signed=True) for same in twins.values() for d in sorted(same)[1:]}
+        self.keys = Keys(self.keys.bits, {**self.keys.renamed, **fresh})
+        named = F.broadcast(spark.createDataFrame([(bytearray(d), k) for d, k in fresh.items()], "digest binary, __renamed bigint"))
+        given = self.sets.join(named, "digest", "left").withColumn("class", F.coalesce("__renamed", "class")).select(*self.sets.columns)
+        self.sets = stored(given, "ngram-sets")
 
     def postings(self) -> DataFrame:
         """Prefix n-grams that at least two classes have."""
         spark = self.plain.sparkSession
         sent = spark.sparkContext.broadcast(gram_counts(self.plain, self.n))
-        posted = stored(self.plain.select("text").mapInArrow(_post(self.n, self.percent, sent), POSTINGS), "ngram-postings", "zstd")
+        posted = stored(self.plain.select("text").mapInArrow(_post(self.n, self.percent, sent, self.keys), POSTINGS), "ngram-postings", "zstd")
         shared = posted.groupBy("gram").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("gram")
         return stored(posted.join(shared, "gram").distinct(), "ngram-shared")
 
@@ -298,7 +334,7 @@ class _Join:
         firsts = stored(needed.join(self.classes, "class").select(F.col("first").alias("__id")).distinct(), f"ngram-{name}-ids")
         key = F.coalesce(F.col("doc_id"), F.lit(NULL_KEY))
         few = possibly_in(self.plain.withColumn("doc_id", key), firsts, "__id").join(firsts, F.col("doc_id") == F.col("__id"), "left_semi")
-        whole = few.select("text").mapInArrow(_whole(self.n), HASHES).join(needed, "class", "left_semi").dropDuplicates(["class"])
+        whole = few.select("text").mapInArrow(_whole(self.n, self.keys), HASHES).join(needed, "class", "left_semi").dropDuplicates(["class"])
         whole = stored(whole, f"ngram-{name}-sets")
         both = pairs
         for side, grams in (("a", "x"), ("b", "y")):
@@ -348,9 +384,9 @@ def _named(join: _Join) -> DataFrame:
     return named.select("class", "first", F.coalesce("label", "class").alias("label"))
 
 
-def linked_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+def linked_groups(docs: DataFrame, n: int = 5, percent: int = 80, key_bits: int = 64) -> DataFrame:
     """``doc_id, n_shingles, component_id, class_id`` of every row: smallest ids of its component, and of the rows with its set."""
-    join = _Join(docs, n, percent)
+    join = _Join(docs, n, percent, key_bits)
     named = _named(join)
     least = named.groupBy("label").agg(F.min("first").alias("component"))
     ids = named.select("class", "label", F.col("first").alias("class_first")).join(least, "label").drop("label")
@@ -362,12 +398,13 @@ def linked_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     return rows.select("doc_id", "n_shingles", or_own("component").alias("component_id"), or_own("class_first").alias("class_id"))
 
 
-def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, key_bits: int = 64) -> DataFrame:
     """Rows of ``docs``, all columns: one of each linked group, and all that have no words.
 
     The one has the group's smallest id; of several classes with that id the smallest, and of its rows with it the first by text.
+    Other columns may have any name and type.
     """
-    join = _Join(docs, n, percent)
+    join = _Join(docs, n, percent, key_bits)
     kept = _named(join).groupBy("label").agg(F.min(F.struct("first", "class")).alias("kept")).select("kept.class", "kept.first")
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY))
     rows = join.sets.groupBy(key.alias("__key"), "class").agg(F.count(F.lit(1)).alias("rows"), F.max("n_shingles").alias("size"))
@@ -375,24 +412,26 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     decided = stored(rows.join(kept, "class", "left").select("__key", "class", "rows", stay.alias("stay")), "ngram-decided")
     ids = decided.groupBy("__key").agg(F.sum("rows").alias("rows"), F.sum("stay").alias("stay")).where("stay < rows")
     ids = stored(ids.select("__key", (F.col("stay") > 0).alias("some")), "ngram-gone")
-    whole = docs.join(ids.select("__key"), key == F.col("__key"), "left_anti")
+    whole = docs.select(F.struct(*docs.columns).alias("__row"), key.alias("__key"))
+    staying = whole.join(ids.select("__key"), "__key", "left_anti").select("__row")
     some = ids.where("some").select("__key")
-    return whole if some.isEmpty() else whole.unionByName(_some_rows(docs, key, decided.join(some, "__key", "left_semi"), n))
+    if not some.isEmpty():
+        staying = staying.unionByName(_some_rows(whole, decided.join(some, "__key", "left_semi"), join))
+    return staying.select(*[F.col("__row")[c].alias(c) for c in docs.columns])
 
 
-def _some_rows(docs: DataFrame, key: Column, decided: DataFrame, n: int) -> DataFrame:
-    """Of the ids in ``decided``, of which some rows go and some stay: the rows of ``docs`` that stay."""
+def _some_rows(whole: DataFrame, decided: DataFrame, join: _Join) -> DataFrame:
+    """Of the ids in ``decided``, of which some rows go and some stay: the rows (``__row``) that stay."""
+    n, keys = join.n, join.keys
 
     @F.arrow_udf("long")
     def class_key(batch: pa.Array) -> pa.Array:
-        return pa.array([class_of(digest_of(g)) for g in _sets_of(batch, n)], pa.int64())
+        return pa.array([keys.of(digest_of(g)) for g in _sets_of(batch, n)], pa.int64())
 
-    rows = docs.select(F.struct(*docs.columns).alias("__row"), key.alias("__key"))
-    rows = rows.join(decided.select("__key").distinct(), "__key", "left_semi")
+    rows = whole.join(decided.select("__key").distinct(), "__key", "left_semi")
     rows = rows.withColumn("__class", class_key(F.coalesce(F.col("__row.text"), F.lit(""))))
     staying = decided.where("stay > 0").select("__key", F.col("class").alias("__class"), (F.col("stay") == F.col("rows")).alias("__all"))
     met = stored(rows.join(staying, ["__key", "__class"]), "ngram-some")
     first = F.min_by("__row", F.struct(F.col("__row.text").alias("text"), F.to_json("__row").alias("row")))
     one = met.where("NOT __all").groupBy("__key", "__class").agg(first.alias("__row"))
-    both = met.where("__all").select("__row").unionByName(one.select("__row"))
-    return both.select(*[F.col("__row")[c].alias(c) for c in docs.columns])
+    return met.where("__all").select("__row").unionByName(one.select("__row"))
