@@ -177,14 +177,19 @@ def decisions(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns; texts keep their letters' case."""
+    """The rows that stay, with all their columns; texts keep their letters' case.
+
+    Other columns may have any name and type. Of rows with equal ids and texts the last by its JSON form stays.
+    """
     suspects = _suspect_ids(fingerprint_rows(docs))
-    is_suspect = F.col("doc_id").eqNullSafe(F.col("__suspect_id"))
-    alone = docs.join(suspects, is_suspect, "left_anti")
+    rows = docs.select(F.struct(*docs.columns).alias("__row"))
+    is_suspect = F.col("__row.doc_id").eqNullSafe(F.col("__suspect_id"))
+    alone = rows.join(suspects, is_suspect, "left_anti")
+    last = F.struct(F.col("__row.doc_id").alias("doc_id"), F.to_json("__row").alias("row"))
     winners = (
-        docs.join(suspects, is_suspect, "left_semi")
-        .groupBy(normalised(F.col("text")).alias("__text"))
-        .agg(F.max(F.struct("doc_id", *[c for c in docs.columns if c != "doc_id"])).alias("__row"))
-        .select(*[F.col("__row")[c].alias(c) for c in docs.columns])
+        rows.join(suspects, is_suspect, "left_semi")
+        .groupBy(normalised(F.col("__row.text")).alias("__text"))
+        .agg(F.max_by("__row", last).alias("__row"))
+        .select("__row")
     )
-    return alone.unionByName(winners)
+    return alone.unionByName(winners).select(*[F.col("__row")[c].alias(c) for c in docs.columns])
