@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crownlake.llm.chunks import distinct_chunks, lookup
-from crownlake.llm.common import prepare, shuffle_partitions, stored, texts
+from crownlake.llm.common import prepare, shuffle_partitions, stored, texts, utf8_bytes
 
 SIZE = 2048
 END_TOKEN = 1
@@ -53,6 +53,7 @@ WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 SPECIAL = "<|"
 MEMO_ENTRIES = 700_000
 OPEN_STREAMS = 8
+PART_BYTES = 1 << 20  # texts encoded at once
 
 _loaded: dict[str, tuple] = {}
 
@@ -149,11 +150,20 @@ def curve_keys(ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return hilbert_key(cells.astype(np.int64))
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in consecutive parts of at most ``PART_BYTES`` of text, unless one text is longer: arrays of ids stay small."""
+    ends = utf8_bytes(batch.column("text"))[1][1:]
+    at = 0
+    while at < batch.num_rows:
+        done = int(ends[at - 1]) if at else 0
+        to = max(int(np.searchsorted(ends, done + PART_BYTES, side="right")), at + 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def _encode(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for whole in batches for part in _parts(whole)):
             ids, offsets = encode_batch(path, batch.column("text"))
             keys = curve_keys(ids, offsets)
             # The closing token goes in behind each text's ids.
