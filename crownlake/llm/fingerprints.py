@@ -10,9 +10,10 @@ it succeeds. From the sizes of both sets and the recovered difference follows
 the exact Jaccard likeness of the two digest sets.
 
 ``edit_report`` compares each document with the next one by id and with an edit
-of itself. Rows are dealt by ranges of the id; the first row of a range also
-goes to the range before it, so each task reads its documents in order and
-holds two of them at a time. Texts are shuffled once.
+of itself. Rows are dealt by ranges of the id, one to a task; the first row of
+a range also goes to the range before it, so each task reads its documents in
+order. Texts are shuffled once. The ranges come from a range partitioning of
+the ids alone, whose first keys are broadcast: one number per partition.
 
 Defined cases: null text is empty text. Two empty sets are alike (1), an empty
 and another one are not (0). Null ids come first in the order; rows with one id
@@ -26,13 +27,13 @@ import base64
 import hashlib
 import re
 import struct
-from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -158,9 +159,8 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def pairs():
         held = None
         for batch in batches:
-            columns = [batch.column(n) for n in ("doc_id", "text", "range", "after")]
-            for i in range(batch.num_rows):
-                doc_id, text, range_, after = (c[i].as_py() for c in columns)
+            columns = [batch.column(n).to_pylist() for n in ("doc_id", "text", "range", "after")]
+            for doc_id, text, range_, after in zip(*columns):
                 if after and (held is None or held[3] != range_):
                     continue  # a second row with the follower's id
                 row = (doc_id, text, paragraph_digests(text), range_)
@@ -173,31 +173,30 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _compare(block)
 
 
-def _ranges(bounds: list[int], firsts: dict[int, int]) -> Callable:
+def _ranges(starts: Broadcast) -> Callable:
     """Ranges that a key's row goes to: its own one and, for the first key of a range, the one before it in the ring."""
-    ring = sorted(firsts)
-    before = {firsts[r]: ring[i - 1] for i, r in enumerate(ring)}
 
     @F.arrow_udf("array<struct<range int, after boolean>>")
     def to(keys: pa.Array) -> pa.Array:
-        out = []
-        for k in keys.to_pylist():
-            own = [{"range": bisect_left(bounds, k), "after": False}]
-            out.append(own + ([{"range": before[k], "after": True}] if k in before else []))
-        return pa.array(out, pa.list_(pa.struct([("range", pa.int32()), ("after", pa.bool_())])))
+        firsts, k = starts.value, keys.to_numpy()
+        own = np.searchsorted(firsts, k, side="right") - 1
+        leads = firsts[own] == k
+        ends = np.cumsum(1 + leads)
+        range_, after = np.repeat(own, 1 + leads), np.zeros(ends[-1] if len(ends) else 0, bool)
+        second = ends[leads] - 1
+        range_[second] = (own[leads] - 1) % len(firsts)
+        after[second] = True
+        pairs = pa.StructArray.from_arrays([pa.array(range_, pa.int32()), pa.array(after)], ["range", "after"])
+        return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pairs)
 
     return to
 
 
-def _first_keys(keys: DataFrame, bounds: list[int]) -> dict[int, int]:
-    """The least key of each range that has one."""
-
-    @F.arrow_udf("int")
-    def range_of(values: pa.Array) -> pa.Array:
-        return pa.array(np.searchsorted(np.array(bounds, np.int64), values.to_numpy()), pa.int32())
-
-    least = keys.groupBy(range_of("key").alias("range")).agg(F.min("key").alias("first"))
-    return {r["range"]: r["first"] for r in least.collect()}
+def _starts(keys: DataFrame, ranges: int) -> np.ndarray:
+    """The least key of each of about equal ranges: Spark's range partitioning of the keys alone gives them."""
+    dealt = keys.repartitionByRange(ranges, "key")
+    least = dealt.groupBy(F.spark_partition_id().alias("range")).agg(F.min("key").alias("first")).select("first")
+    return np.sort(least.toArrow()["first"].to_numpy())
 
 
 def _key(doc_id: Column) -> Column:
@@ -208,14 +207,10 @@ def edit_report(docs: DataFrame) -> DataFrame:
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`` of every row."""
     spark = docs.sparkSession
     prepare(spark)
-    partitions = shuffle_partitions(spark)
-    ranges = 4 * partitions
     keys = docs.select(_key(F.col("doc_id").cast("long")).alias("key"))
-    # Bounds and firsts: a number per range, whatever the input.
-    shares = [i / ranges for i in range(1, ranges)]
-    bounds = sorted(set(keys.agg(F.percentile_approx("key", shares, 20 * ranges)).first()[0] or []))
-    firsts = _first_keys(keys, bounds)
+    starts = _starts(keys, shuffle_partitions(spark))  # a number per partition, as Spark's own bounds are
+    to = _ranges(spark.sparkContext.broadcast(starts))
     dealt = texts(docs).withColumn("key", _key(F.col("doc_id")))
-    dealt = dealt.withColumn("to", F.explode(_ranges(bounds, firsts)("key"))).select("doc_id", "text", "key", "to.range", "to.after")
-    ordered = dealt.repartition(partitions, "range").sortWithinPartitions("range", "after", "key", F.xxhash64("text"))
+    dealt = dealt.withColumn("to", F.explode(to("key"))).select("doc_id", "text", "key", "to.range", "to.after")
+    ordered = dealt.repartitionById(max(1, len(starts)), "range").sortWithinPartitions("range", "after", "key", F.xxhash64("text"))
     return ordered.select("doc_id", "text", "range", "after").mapInArrow(_in_order, REPORT)

@@ -268,3 +268,15 @@ def test_logins_with_long_or_no_names(ready):
     logins = {i: [s for s in spans.split(",") if s.startswith("url_login")] for i, spans in found.items()}
     assert logins == {1: [f"url_login:4:{rows[0][1].index('@') + 1}"], 2: ["url_login:0:17"], 3: ["url_login:0:76"], 4: [], 5: [], 6: ["url_login:2:56"], 7: [], 8: []}
     assert found[8] == f"private_key:0:{len(rows[6][1])}"
+
+
+def test_fingerprints_are_the_same_over_any_number_of_ranges(ready):
+    docs = table(ready, [(i * 7 - 50, t) for i, t in enumerate(TEXTS)] + [(None, "null. id."), (-50, "same. id.")])
+    asked, seen = ready.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for partitions in ("1", "3", "400"):
+            ready.conf.set("spark.sql.shuffle.partitions", partitions)
+            seen.append(sorted(map(tuple, fingerprints.edit_report(docs).collect()), key=repr))
+    finally:
+        ready.conf.set("spark.sql.shuffle.partitions", asked)
+    assert len(seen[0]) == len(TEXTS) + 2 and seen[0] == seen[1] == seen[2]
