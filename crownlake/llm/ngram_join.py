@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crownlake.llm.common import possibly_in, prepare, stored, texts, utf8_bytes
+from crownlake.llm.common import lean, possibly_in, prepare, stored, texts, utf8_bytes
 from crownlake.llm.components import components
 
 RANGES = 64
@@ -193,7 +193,7 @@ def _merge(rows: pd.DataFrame) -> pd.DataFrame:
 def gram_counts(docs: DataFrame, n: int) -> np.ndarray:
     """Documents per hashed n-gram over all of ``docs``: a table of fixed size, merged by at most FAN_IN senders at a time."""
     schema = "slice int, sender int, counts binary"
-    counts, senders = docs.select("text").mapInArrow(_count(n), schema), docs.rdd.getNumPartitions()
+    counts, senders = docs.select("text").mapInArrow(lean(_count(n)), schema), docs.rdd.getNumPartitions()
     while senders > 1:
         counts = counts.groupBy("slice", F.floor(F.col("sender") / FAN_IN)).applyInPandas(_merge, schema)
         senders = -(-senders // FAN_IN)
@@ -268,7 +268,7 @@ class _Join:
     def __init__(self, docs: DataFrame, n: int, percent: int, key_bits: int = 64) -> None:
         self.plain, self.n, self.percent, self.keys = texts(docs), n, percent, Keys(key_bits)
         prepare(docs.sparkSession)
-        self.sets = stored(self.plain.mapInArrow(_describe(n, self.keys), SETS), "ngram-sets")
+        self.sets = stored(self.plain.mapInArrow(lean(_describe(n, self.keys)), SETS), "ngram-sets")
         self.classes = self._classes()
         while clashes := [r["class"] for r in self.classes.where("clash").select("class").limit(MOST_CLASHES + 1).collect()]:
             self._rename(clashes)
@@ -303,7 +303,7 @@ class _Join:
         """Prefix n-grams that at least two classes have."""
         spark = self.plain.sparkSession
         sent = spark.sparkContext.broadcast(gram_counts(self.plain, self.n))
-        posted = stored(self.plain.select("text").mapInArrow(_post(self.n, self.percent, sent, self.keys), POSTINGS), "ngram-postings", "zstd")
+        posted = stored(self.plain.select("text").mapInArrow(lean(_post(self.n, self.percent, sent, self.keys)), POSTINGS), "ngram-postings", "zstd")
         shared = posted.groupBy("gram").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("gram")
         return stored(posted.join(shared, "gram").distinct(), "ngram-shared")
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crownlake.llm.chunks import distinct_chunks, lookup
-from crownlake.llm.common import prepare, shuffle_partitions, stored, texts, utf8_bytes
+from crownlake.llm.common import lean, prepare, shuffle_partitions, stored, texts, utf8_bytes
 
 SIZE = 2048
 END_TOKEN = 1
@@ -275,8 +275,8 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = SIZE) -> DataFrame:
     """
     spark = docs.sparkSession
     prepare(spark)
-    encoded = stored(texts(docs).mapInArrow(_encode(tokenizer_path), ENCODED), "encoded", "zstd")
+    encoded = stored(texts(docs).mapInArrow(lean(_encode(tokenizer_path)), ENCODED), "encoded", "zstd")
     tie = F.xxhash64("doc_id", F.crc32("ids"))
     ranged = encoded.withColumn("__tie", tie).repartitionByRange(shuffle_partitions(spark), "curve_key", "__tie")
     along = ranged.sortWithinPartitions("curve_key", "__tie", "doc_id", "ids").select("doc_id", "ids")
-    return along.mapInArrow(_pack(size), PIECES)
+    return along.mapInArrow(lean(_pack(size)), PIECES)
