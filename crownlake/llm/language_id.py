@@ -210,8 +210,9 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
             names = pa.array([own.languages[i] for i in best], pa.string())
             yield pa.StructArray.from_arrays([names, pa.array(p[np.arange(len(best)), best], pa.float64())], ["lang", "score"])
 
-    lettered = has_letter(F.col("text"))
-    found = docs.withColumn("__found", predict(F.coalesce(F.col("text"), F.lit(""))))
+    # Called non-deterministic, so that a filter on the result and the result itself share one evaluation.
+    lettered, once = has_letter(F.col("text")), predict.asNondeterministic()
+    found = docs.withColumn("__found", once(F.coalesce(F.col("text"), F.lit(""))))
     return found.withColumns(
         {
             "lang_pred": F.when(lettered, F.col("__found.lang")).otherwise(F.lit(UNDETERMINED)),

@@ -280,3 +280,9 @@ def test_fingerprints_are_the_same_over_any_number_of_ranges(ready):
     finally:
         ready.conf.set("spark.sql.shuffle.partitions", asked)
     assert len(seen[0]) == len(TEXTS) + 2 and seen[0] == seen[1] == seen[2]
+
+
+def test_the_language_filter_evaluates_the_network_once(ready):
+    docs = table(ready, [(i, t, "en" if i % 2 else "de", "a") for i, t in enumerate(TEXTS)])
+    kept = language_id.recognised(docs, 60)
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
