@@ -18,12 +18,13 @@ MEMO_ENTRIES = 400_000
 
 def lookup(values: list[str], memo: dict[str, object], encode: Callable[[list[str]], list], entries: int = MEMO_ENTRIES) -> list:
     """``encode`` of each value, from ``memo`` where it has it; ``entries`` bounds the memo."""
-    if missing := list(dict.fromkeys(v for v in values if v not in memo)):
+    found = list(map(memo.get, values))
+    if missing := list(dict.fromkeys([v for v, known in zip(values, found) if known is None])):
         if len(memo) + len(missing) > entries:
             memo.clear()
-            missing = list(dict.fromkeys(values))
         memo.update(zip(missing, encode(missing)))
-    return [memo[v] for v in values]
+        found = [memo[v] if known is None else known for v, known in zip(values, found)]
+    return found
 
 
 def distinct_chunks(lists: pa.ListArray) -> tuple[list[str], np.ndarray, np.ndarray]:

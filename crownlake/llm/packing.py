@@ -47,10 +47,12 @@ REACH = 3.0
 ENCODED = "doc_id bigint, curve_key bigint, ids binary"
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, copy int"
 ID = np.dtype(np.uint16)
-# A word of Latin-1 letters, and the signs behind it: the tokenizer always separates the two,
+# A word of Latin-1 letters, and a border of a letter and a sign: the tokenizer always separates the two,
 # lower-cases the word letter by letter, and normalisation leaves both as they are.
-WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-SPECIAL = "<|"
+WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+BORDER = "([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?])"
+# Texts that keep their letters' case: special tokens have it in their names, and marks may join only one case of a letter.
+CASED = r"<\||[A-Z]\pM"
 MEMO_ENTRIES = 700_000
 OPEN_STREAMS = 8
 PART_BYTES = 1 << 20  # texts encoded at once
@@ -111,21 +113,16 @@ def encode_batch(path: str, batch: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     tokenize = tokenizer.model.tokenize
 
     def word(v: str) -> bytes:
-        if v not in memo:
-            memo[v] = array("H", [t.id for t in tokenize(v.translate(letters))]).tobytes()
-        return memo[v]
+        return array("H", [t.id for t in tokenize(v)]).tobytes()
 
     def encode(values: list[str]) -> list[bytes]:
-        parts = [WORD.fullmatch(v) for v in values]
-        rest = iter(tokenizer.encode_batch_fast([v for v, m in zip(values, parts) if not m], add_special_tokens=False))
-        return [
-            word(m[1].lower()) + (word(m[2]) if m[2] else b"") if m else array("H", next(rest).ids).tobytes()
-            for m in parts
-        ]
-
-    # Letters' case does not matter but in the special tokens' names.
-    lowered = pc.if_else(pc.match_substring(batch, SPECIAL), batch, pc.ascii_lower(batch))
-    chunks, index, offsets = distinct_chunks(pc.ascii_split_whitespace(lowered))
+        spelt = [v.lower() if v.isascii() and v.isalpha() else v.lower().translate(letters) if WORD.fullmatch(v) else None for v in values]
+        rest = iter(tokenizer.encode_batch_fast([v for v, w in zip(values, spelt) if w is None], add_special_tokens=False))
+        return [array("H", next(rest).ids).tobytes() if w is None else word(w) for w in spelt]
+
+    lowered = pc.if_else(pc.match_substring_regex(batch, CASED), batch, pc.ascii_lower(batch))
+    parted = pc.replace_substring_regex(lowered, BORDER, r"\1 \2")
+    chunks, index, offsets = distinct_chunks(pc.ascii_split_whitespace(parted))
     coded = lookup(chunks, memo, encode, MEMO_ENTRIES)
     flat = np.frombuffer(b"".join(coded), ID)
     lengths = np.fromiter(map(len, coded), np.int64, len(coded)) // ID.itemsize

@@ -122,6 +122,19 @@ def test_packing_round_trip(ready, awkward, empty):
     assert packing.pack(awkward, tokenizer_path("word_bpe_49k.json")).selectExpr("sum(length)").first()[0] > 30_000
 
 
+def test_packing_encodes_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    rng = np.random.default_rng(3)
+    signs = [*"abXYZéÉßÿÞÅ×.,;:!?'- \t\n\x0b\x1c\u0085\u00a0\u200b\u2028\u0301\u030a\u030c\u0308019<|>$日ΩдİǅﬁK", "<|endoftext|>", "'S", "...", "Word", "Naïve", ". "]
+    texts = ["".join(rng.choice(signs, rng.integers(0, 25))) for _ in range(20_000)]
+    texts += ["Y\u030a J\u030c. H\u0331, T\u0308", "X <|endoftext|> X.", "É. É, ÉCOLE!? école...", ""]
+    ids, offsets = packing.encode_batch(path, pa.array(texts))
+    for i, want in enumerate(Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)):
+        assert ids[offsets[i] : offsets[i + 1]].tolist() == want.ids, texts[i]
+
+
 def test_hilbert_neighbours_touch():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     order = np.argsort(packing.hilbert_key(cells, 3))
