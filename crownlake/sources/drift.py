@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crownlake.sources.landing import LANDED_FILES
 from crownlake.sources.raw import DAY_FROM_PATH
 
 DRIFT = "ingestion_date date, field string, change string, declared string, landed string"
@@ -59,7 +60,7 @@ def takes(declared: T.DataType, landed: T.DataType) -> bool:
     return _kind(declared) == _kind(landed)
 
 
-def landed_schemas(spark: SparkSession, path: str | list[str], pattern: str = "*.json", multi_line: bool = False) -> DataFrame:
+def landed_schemas(spark: SparkSession, path: str | list[str], pattern: str = LANDED_FILES, multi_line: bool = False) -> DataFrame:
     """``ingestion_date, schema`` of the records under ``path``: the merged shape of each landing day."""
     paths = [path] if isinstance(path, str) else list(path)
     lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
@@ -77,7 +78,7 @@ def parsed(text: str) -> T.DataType:
     return kind.elementType if isinstance(kind, T.ArrayType) else kind
 
 
-def schema_drift(spark: SparkSession, path: str | list[str], declared: T.StructType, pattern: str = "*.json",
+def schema_drift(spark: SparkSession, path: str | list[str], declared: T.StructType, pattern: str = LANDED_FILES,
                  multi_line: bool = False) -> DataFrame:
     """The differences of each landing day from ``declared``; none for a day without records."""
     want = fields_of(declared)

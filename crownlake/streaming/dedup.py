@@ -33,8 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from crownlake.operators.bronze import normalize_battles
-from crownlake.operators.dedup import keep_first
-from crownlake.operators.silver import silver_battle_rows
+from crownlake.operators.silver import first_battles, silver_battle_rows
 from crownlake.schemas import SILVER_BATTLE_COLUMNS
 from crownlake.streaming.ingest import BATTLES, append_unseen, raw_stream
 
@@ -63,12 +62,13 @@ def without_repeats(rows: DataFrame, delay: str) -> DataFrame:
         EVENT: F.col("battle_time").cast("timestamp"),
         COPY: F.xxhash64(*[F.col(c) for c in SILVER_BATTLE_COLUMNS if c != "ingestion_date"]),
     })
+    # The deck's hash counts for the copy, but follows from the deck: it is not shuffled.
+    marked = marked.drop("deck_hash")
     return marked.withWatermark(EVENT, delay).dropDuplicatesWithinWatermark(["battle_id", COPY]).drop(EVENT, COPY)
 
 
 def _merge(rows: DataFrame, silver_path: str, lake) -> None:
-    first = keep_first(rows, ["battle_id"], ["ingestion_date", "_source_seq"])
-    append_unseen(first.select(*SILVER_BATTLE_COLUMNS), BATTLES, silver_path, lake)
+    append_unseen(first_battles(rows), BATTLES, silver_path, lake)
 
 
 def _finished(query: StreamingQuery) -> StreamingQuery:
