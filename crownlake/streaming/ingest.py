@@ -31,11 +31,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from crownlake.operators.bronze import normalize_battles, normalize_profiles
-from crownlake.operators.dedup import drop_seen, keep_first
-from crownlake.operators.silver import silver_battle_rows, silver_profiles
-from crownlake.schemas import SILVER_BATTLE_COLUMNS
+from crownlake.operators.dedup import drop_seen
+from crownlake.operators.silver import first_battles, silver_battle_rows, silver_profiles
 from crownlake.session import scratch_path
 from crownlake.sources import raw as R
+from crownlake.sources.sinks import FEW_DAYS, write_parquet
 
 
 @dataclass(frozen=True)
@@ -51,8 +51,7 @@ class Feed:
 
 def _battle_rows(batch: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     kept, rejects = normalize_battles(batch)
-    rows = keep_first(silver_battle_rows(kept), ["battle_id"], ["ingestion_date", "_source_seq"])
-    return rows.select(*SILVER_BATTLE_COLUMNS), rejects
+    return first_battles(silver_battle_rows(kept)), rejects
 
 
 def _profile_rows(batch: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -66,7 +65,7 @@ PROFILES = Feed("profiles", R.RAW_PROFILE_LANDED, _profile_rows, ("player_tag",
 
 def raw_stream(spark: SparkSession, path: str, feed: Feed = BATTLES, max_files_per_trigger: int | None = None) -> DataFrame:
     reader = (spark.readStream.schema(feed.schema)
-              .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json"))
+              .option("recursiveFileLookup", "true").option("pathGlobFilter", R.LANDED_FILES))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return R.landing_columns(reader.json(path), feed.schema)
@@ -99,14 +98,15 @@ def append_unseen(rows: DataFrame, feed: Feed, silver_path: str, lake=None) -> N
     from crownlake.plans.pipeline import path_exists, silver_to_gold
 
     spark = rows.sparkSession
-    fresh = _staged(rows, f"batch-{feed.name}")
+    staged = fresh = _staged(rows, f"batch-{feed.name}")
     if path_exists(spark, silver_path):
         stored = spark.read.schema(rows.schema).parquet(silver_path)
-        fresh = drop_seen(fresh, stored, feed.keys, within=feed.within)
+        fresh = drop_seen(staged, stored, feed.keys, within=feed.within)
     if lake is not None and path_exists(spark, lake.partial("deck")):
         silver_to_gold(spark, lake, {feed.name: _staged(fresh, f"fresh-{feed.name}")})
     else:
-        fresh.hint("rebalance", "ingestion_date").write.mode("append").partitionBy("ingestion_date").parquet(silver_path)
+        few = staged.select("ingestion_date").distinct().limit(FEW_DAYS + 1).count() <= FEW_DAYS
+        write_parquet(fresh, silver_path, ["ingestion_date"], "append", few_days=few)
 
 
 def ingest(
