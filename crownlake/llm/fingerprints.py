@@ -37,12 +37,14 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crownlake.llm.common import prepare, shuffle_partitions, texts
+from crownlake.llm.common import lean, prepare, shuffle_partitions, texts
 
 HASHES = 3
 CELLS = 24
 GROWTH = 4
 BLOCK = 256
+# Cells of the grown tables that a worker holds at a time: as many as a block's first ones, or one text's.
+LIVE_CELLS = BLOCK * CELLS
 PARAGRAPH = re.compile(r"[^\n.,;:!?|]+")
 NULL_KEY = -(1 << 63)
 
@@ -120,11 +122,15 @@ def likeness(left: list[np.ndarray], right: list[np.ndarray], first: tuple[Sketc
     out = np.ones(len(left))
     open_, cells = np.arange(len(left)), CELLS
     while len(open_):
-        a, b = first or (Sketches([left[i] for i in open_], cells), Sketches([right[i] for i in open_], cells))
-        more, less, done = a.minus(b).peel()
-        union = a.sizes + less
-        out[open_[done]] = ((a.sizes - more) / np.maximum(union, 1) + (union == 0))[done]
-        open_, cells, first = open_[~done], cells * GROWTH, None
+        left_over, step = [], max(1, LIVE_CELLS // cells)
+        for at in range(0, len(open_), len(open_) if first else step):
+            rows = open_ if first else open_[at : at + step]
+            a, b = first or (Sketches([left[i] for i in rows], cells), Sketches([right[i] for i in rows], cells))
+            more, less, done = a.minus(b).peel()
+            union = a.sizes + less
+            out[rows[done]] = ((a.sizes - more) / np.maximum(union, 1) + (union == 0))[done]
+            left_over.append(rows[~done])
+        open_, cells, first = np.concatenate(left_over), cells * GROWTH, None
     return out
 
 
@@ -213,4 +219,4 @@ def edit_report(docs: DataFrame) -> DataFrame:
     dealt = texts(docs).withColumn("key", _key(F.col("doc_id")))
     dealt = dealt.withColumn("to", F.explode(to("key"))).select("doc_id", "text", "key", "to.range", "to.after")
     ordered = dealt.repartitionById(max(1, len(starts)), "range").sortWithinPartitions("range", "after", "key", F.xxhash64("text"))
-    return ordered.select("doc_id", "text", "range", "after").mapInArrow(_in_order, REPORT)
+    return ordered.select("doc_id", "text", "range", "after").mapInArrow(lean(_in_order), REPORT)
