@@ -46,8 +46,26 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) ->
 BROADCAST_KEYS = 10 * 1024 * 1024
 
 
+def keep_first_stored(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """``keep_first`` of stored rows: where few keys repeat, only the rows of these are shuffled and sorted.
+
+    Keys are first counted by a 64-bit hash, without the wide rows. A row whose hash is alone is its key's only
+    one. The others are reduced and stored; if so many hashes repeat that they can't be broadcast, all rows are.
+    """
+    mark = F.xxhash64(*keys)
+    twice = rows.groupBy(mark.alias("_mark")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_mark")
+    repeated, repeated_bytes = _stored_keys(twice, "repeated")
+    if repeated.isEmpty():
+        return rows
+    if repeated_bytes > BROADCAST_KEYS:
+        return _stored_keys(keep_first(rows, keys, order), "firsts")[0]
+    marked, repeated = rows.withColumn("_mark", mark), F.broadcast(repeated)
+    firsts, _ = _stored_keys(keep_first(marked.join(repeated, "_mark", "left_semi").drop("_mark"), keys, order), "firsts")
+    return marked.join(repeated, "_mark", "left_anti").drop("_mark").unionByName(firsts)
+
+
 def _stored_keys(keys: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Keys written under the shared folder and read back, and their bytes there."""
+    """Keys or rows written under the shared folder and read back, and their bytes there."""
     path = scratch_path(keys.sparkSession, name)
     keys.write.parquet(path)
     return keys.sparkSession.read.schema(keys.schema).parquet(path), path_bytes(keys.sparkSession, path)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crownlake.functions import columns as X
-from crownlake.operators.dedup import keep_first
+from crownlake.operators.dedup import keep_first, keep_first_stored
 from crownlake.schemas import SILVER_BATTLE_COLUMNS, SILVER_PROFILE_COLUMNS
 
 
@@ -67,7 +67,15 @@ def silver_battles(bronze: DataFrame, run_date: dt.date | None = None) -> DataFr
 
 def first_battles(rows: DataFrame) -> DataFrame:
     """One row per battle: its first landing. The deck's hash follows from the deck, so it is not shuffled with it."""
-    deduped = keep_first(rows.drop("deck_hash"), ["battle_id"], ["ingestion_date", "_source_seq"])
+    return _battles_of(keep_first(rows.drop("deck_hash"), ["battle_id"], ["ingestion_date", "_source_seq"]))
+
+
+def first_stored_battles(rows: DataFrame) -> DataFrame:
+    """As ``first_battles``, of stored rows: a battle's row that no other shares is not shuffled."""
+    return _battles_of(keep_first_stored(rows.drop("deck_hash"), ["battle_id"], ["ingestion_date", "_source_seq"]))
+
+
+def _battles_of(deduped: DataFrame) -> DataFrame:
     return deduped.withColumn("deck_hash", X.deck_hash("player_deck")).select(*SILVER_BATTLE_COLUMNS)
 
 
@@ -77,6 +85,21 @@ def silver_profiles(
     run_date: dt.date | None = None,
 ) -> DataFrame:
     """C4: bronze profiles -> ``profile_silver`` (key ``player_tag, snapshot_at``)."""
+    deduped = keep_first(silver_profile_rows(bronze, run_ts, run_date), ["player_tag", "snapshot_at"], ["ingestion_date", "_source_seq"])
+    return deduped.select(*SILVER_PROFILE_COLUMNS)
+
+
+def first_stored_profiles(rows: DataFrame) -> DataFrame:
+    """One row per profile snapshot of stored rows: its first landing."""
+    return keep_first_stored(rows, ["player_tag", "snapshot_at"], ["ingestion_date", "_source_seq"]).select(*SILVER_PROFILE_COLUMNS)
+
+
+def silver_profile_rows(
+    bronze: DataFrame,
+    run_ts: dt.datetime | None = None,
+    run_date: dt.date | None = None,
+) -> DataFrame:
+    """C4 without the dedup: typed rows, those without a tag or name dropped (row-local)."""
     ingestion = F.lit(run_date).cast("date") if run_date else _provenance(bronze, "ingestion_date", "date")
     # Landing time, else the landing day: one snapshot per pull, not per run.
     landed = F.coalesce(_provenance(bronze, "ingested_at", "timestamp_ntz"),
@@ -98,6 +121,4 @@ def silver_profiles(
         _provenance(bronze, "source_seq", "bigint").alias("_source_seq"),
     )
     rated = typed.withColumn("win_rate", X.guarded_pct("wins", "battle_count"))
-    cleaned = rated.dropna(subset=["player_tag", "player_name"])
-    deduped = keep_first(cleaned, ["player_tag", "snapshot_at"], ["ingestion_date", "_source_seq"])
-    return deduped.select(*SILVER_PROFILE_COLUMNS)
+    return rated.dropna(subset=["player_tag", "player_name"])

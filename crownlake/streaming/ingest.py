@@ -5,9 +5,9 @@ R1 — new landed raw files trigger the silver jobs of battles and of profiles.
 tag/day) with ``trigger(availableNow=True)``: each run processes every file
 landed since the last checkpoint, then stops — the scheduled-batch cadence with
 exactly-once file tracking. Each micro-batch is merged into silver by
-``foreachBatch``: normalise, build silver rows, keep one row per key
-(deterministic, ``keep_first``), drop keys already in silver (``drop_seen``),
-append. A replayed epoch (after a failure between the write and the checkpoint
+``foreachBatch``: normalise, build silver rows and store them, keep one row per key
+(deterministic, ``keep_first_stored``: only rows of repeated keys are shuffled), drop
+keys already in silver (``drop_seen``), append. A replayed epoch (after a failure between the write and the checkpoint
 commit) finds its keys already present and appends nothing, so the sink is
 idempotent. Battle items set aside go to ``rejects_path`` with their reason, one
 folder per epoch, which a replay overwrites.
@@ -32,7 +32,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from crownlake.operators.bronze import normalize_battles, normalize_profiles
 from crownlake.operators.dedup import drop_seen
-from crownlake.operators.silver import first_battles, silver_battle_rows, silver_profiles
+from crownlake.operators.silver import first_stored_battles, first_stored_profiles, silver_battle_rows, silver_profile_rows
 from crownlake.session import scratch_path
 from crownlake.sources import raw as R
 from crownlake.sources.sinks import FEW_DAYS, write_parquet
@@ -40,27 +40,32 @@ from crownlake.sources.sinks import FEW_DAYS, write_parquet
 
 @dataclass(frozen=True)
 class Feed:
-    """One kind of landed payload. ``build`` gives the silver rows of a batch and what it sets aside, if anything."""
+    """One kind of landed payload.
+
+    ``build`` gives a batch's rows before any deduplication and what it sets aside, if anything; ``first`` the silver
+    rows of such rows once they are stored, one for each of ``keys``.
+    """
 
     name: str
     schema: T.StructType
     build: Callable[[DataFrame], tuple[DataFrame, DataFrame | None]]
+    first: Callable[[DataFrame], DataFrame]
     keys: tuple[str, ...]
     within: str
 
 
 def _battle_rows(batch: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     kept, rejects = normalize_battles(batch)
-    return first_battles(silver_battle_rows(kept)), rejects
+    return silver_battle_rows(kept), rejects
 
 
 def _profile_rows(batch: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """A profile that lacks a required field fails the batch, as in the batch job."""
-    return silver_profiles(normalize_profiles(batch)), None
+    return silver_profile_rows(normalize_profiles(batch)), None
 
 
-BATTLES = Feed("battles", R.RAW_BATTLE_LANDED, _battle_rows, ("battle_id",), "battle_time")
-PROFILES = Feed("profiles", R.RAW_PROFILE_LANDED, _profile_rows, ("player_tag", "snapshot_at"), "snapshot_at")
+BATTLES = Feed("battles", R.RAW_BATTLE_LANDED, _battle_rows, first_stored_battles, ("battle_id",), "battle_time")
+PROFILES = Feed("profiles", R.RAW_PROFILE_LANDED, _profile_rows, first_stored_profiles, ("player_tag", "snapshot_at"), "snapshot_at")
 
 
 def raw_stream(spark: SparkSession, path: str, feed: Feed = BATTLES, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -94,14 +99,16 @@ def merge_batch(batch: DataFrame, feed: Feed, silver_path: str, lake=None, rejec
 
 
 def append_unseen(rows: DataFrame, feed: Feed, silver_path: str, lake=None) -> None:
-    """Append the silver ``rows`` whose keys silver does not hold; with a lake that has partials, update gold first."""
+    """Append the first of the ``rows`` of each key that silver does not hold; with a lake that has partials, update gold first."""
     from crownlake.plans.pipeline import path_exists, silver_to_gold
 
     spark = rows.sparkSession
-    staged = fresh = _staged(rows, f"batch-{feed.name}")
+    # A deck's hash follows from the deck; ``first`` adds it.
+    staged = _staged(rows.drop("deck_hash"), f"batch-{feed.name}")
+    fresh = first = feed.first(staged)
     if path_exists(spark, silver_path):
-        stored = spark.read.schema(rows.schema).parquet(silver_path)
-        fresh = drop_seen(staged, stored, feed.keys, within=feed.within)
+        stored = spark.read.schema(first.schema).parquet(silver_path)
+        fresh = drop_seen(first, stored, feed.keys, within=feed.within)
     if lake is not None and path_exists(spark, lake.partial("deck")):
         silver_to_gold(spark, lake, {feed.name: _staged(fresh, f"fresh-{feed.name}")})
     else:
