@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crownlake.llm.common import lean, possibly_in, prepare, stored, texts, utf8_bytes
-from crownlake.llm.components import components
+from crownlake.llm.components import components, joined
 
 RANGES = 64
 COUNT_SLOTS, COUNT_SLICES = 1 << 18, 16
@@ -330,6 +330,8 @@ class _Join:
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs whose whole sets link."""
         pairs = stored(pairs, f"ngram-{name}")
+        if pairs.isEmpty():
+            return pairs
         needed = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
         firsts = stored(needed.join(self.classes, "class").select(F.col("first").alias("__id")).distinct(), f"ngram-{name}-ids")
         key = F.coalesce(F.col("doc_id"), F.lit(NULL_KEY))
@@ -341,9 +343,8 @@ class _Join:
             both = both.join(whole.select(F.col("class").alias(side), F.col("grams").alias(grams)), side)
         return stored(both.select("a", "b", "x", "y").mapInArrow(_verify(self.percent), "a bigint, b bigint"), f"ngram-{name}-links")
 
-    def apart(self, pairs: DataFrame, links: DataFrame) -> DataFrame:
-        """The pairs whose classes the links leave in different components."""
-        known = stored(components(links), "ngram-known")
+    def apart(self, pairs: DataFrame, known: DataFrame) -> DataFrame:
+        """The pairs whose classes are in different components of those ``known``."""
         for side in ("a", "b"):
             label = known.select(F.col("vertex").alias(side), F.col("label").alias(f"l{side}"))
             pairs = pairs.join(label, side, "left").withColumn(f"l{side}", F.coalesce(f"l{side}", side))
@@ -356,9 +357,8 @@ class _Join:
         star = postings.join(cells, ["gram", "size", "place"]).select("class", "size", F.col("first2").alias("class2"), "size2")
         tried = stored(self.filtered(star), "ngram-stars")
         smallest = stored(tried.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "ngram-smallest")
-        links = self.verified(smallest, "star")
-        links = links.unionByName(self.verified(self.apart(tried.join(smallest, ["a", "b"], "left_anti"), links), "stars"))
-        known = stored(components(links), "ngram-labels")
+        known = stored(components(self.verified(smallest, "star")), "ngram-known")
+        known = joined(known, self.verified(self.apart(tried.join(smallest, ["a", "b"], "left_anti"), known), "stars"))
         labelled = postings.join(known.withColumnRenamed("vertex", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
         # Pairs of cells whose classes are not all in one component yet.
         spread = labelled.groupBy("gram", "size", "place").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
@@ -374,13 +374,12 @@ class _Join:
         right = labelled.select("gram", F.col("size").alias("size2"), F.col("place").alias("place2"), F.col("class").alias("class2"), F.col("label").alias("label2"))
         rest = left.join(right, ["gram", "size2", "place2"]).where("label <> label2").select("class", "size", "class2", "size2")
         more = self.verified(self.filtered(rest).join(tried, ["a", "b"], "left_anti"), "rest")
-        return components(links.unionByName(more))
+        return joined(known, more)
 
 
 def _named(join: _Join) -> DataFrame:
     """``class, first, label`` of every class; classes of one component have one label."""
-    labels = stored(join.labels(), "ngram-components")
-    named = join.classes.join(labels.withColumnRenamed("vertex", "class"), "class", "left")
+    named = join.classes.join(join.labels().withColumnRenamed("vertex", "class"), "class", "left")
     return named.select("class", "first", F.coalesce("label", "class").alias("label"))
 
 

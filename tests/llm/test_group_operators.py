@@ -232,3 +232,15 @@ def test_one_of_each_by_row_on_repeated_and_null_ids(ready, awkward):
     kept = ngram_join.one_of_each(awkward)
     assert kept.columns == awkward.columns
     assert sorted(r.doc_id or 0 for r in kept.select("doc_id").collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 9]
+
+
+def test_components_go_on_from_known_ones(ready):
+    """The near-duplicate stage found all components anew for each lot of links, with a job of its own to count each round."""
+    kind, rng = "a bigint, b bigint", np.random.default_rng(5)
+    links = [(int(a), int(b)) for a, b in rng.integers(0, 60, (40, 2)) if a != b]
+    known = components.stored(components.components(ready.createDataFrame(links[:25], kind)), "known")
+    assert components.joined(known, ready.createDataFrame([], kind)) is known
+    got = dict(components.joined(known, ready.createDataFrame(links[25:], kind)).collect())
+    label = closure(60, links)
+    assert got == {v: label[v] for link in links for v in link}
+    assert components.components(ready.createDataFrame([], kind)).count() == 0
